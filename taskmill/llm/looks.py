@@ -12,78 +12,87 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from taskmill.runtime import cut
+
 # Letters of Cyrillic and Greek that are drawn like Latin ones, in pairs.
 CYRILLIC = "аеорсухіѕјһԁԛԝ АВЕКМНОРСТХІЅЈ"
 CYRILLIC_LATIN = "aeopcyxisjhdqw ABEKMHOPCTXISJ"
 GREEK = "ον ΑΒΕΖΗΙΚΜΝΟΡΤΥΧ"
 GREEK_LATIN = "ov ABEZHIKMNOPTYX"
 
-_LETTERS = {ord(a): b for a, b in zip(CYRILLIC + GREEK, CYRILLIC_LATIN + GREEK_LATIN) if a != " "}
-#: Default-ignorable code points (Unicode property), as ranges; the joiners are kept apart.
-_IGNORABLE = re.compile(
-    "[­͏؜ᅟᅠ឴឵᠋-᠏​‎‏‪-‮"
-    "⁠-⁯ㅤ︀-️﻿ﾠ￰-￸\U0001bca0-\U0001bca3"
-    "\U0001d173-\U0001d17a\U000e0000-\U000e0fff]+"
-)
-_JOINERS = re.compile("[‌‍]+")
-#: Scripts in which a joiner between two characters changes what is drawn: Arabic to Thaana,
+#: Default-ignorable code points (Unicode property) as ranges; the joiners are kept apart.
+IGNORABLE_RANGES = [
+    (0x00AD, 0x00AD), (0x034F, 0x034F), (0x061C, 0x061C), (0x115F, 0x1160), (0x17B4, 0x17B5), (0x180B, 0x180F),
+    (0x200B, 0x200B), (0x200E, 0x200F), (0x202A, 0x202E), (0x2060, 0x206F), (0x3164, 0x3164), (0xFE00, 0xFE0F),
+    (0xFEFF, 0xFEFF), (0xFFA0, 0xFFA0), (0xFFF0, 0xFFF8), (0x1BCA0, 0x1BCA3), (0x1D173, 0x1D17A), (0xE0000, 0xE0FFF),
+]
+#: Blocks in which a joiner between two characters changes what is drawn: Arabic to Thaana,
 #: the Indic scripts, Mongolian, and emoji sequences.
-_JOINING = re.compile("[؀-ࣿऀ-෿᠀-᢯←-⯿\U0001f000-\U0001faff]")
-_SPACE = re.compile(r"[^\S\n]")
-_BREAK = re.compile("\r\n?|[\u0085  ]")
+JOINING_RANGES = [(0x0600, 0x08FF), (0x0900, 0x0DFF), (0x1800, 0x18AF), (0x2190, 0x2BFF), (0x1F000, 0x1FAFF)]
 
+_JOINERS = re.compile("[\u200c\u200d]+")
 
-def _drop_joiners(s: str) -> str:
-    def one(m: re.Match) -> str:
-        a, b = m.start() - 1, m.end()
-        seen = a >= 0 and b < len(s) and _JOINING.match(s[a]) and _JOINING.match(s[b])
-        return m.group() if seen else ""
-
-    return _JOINERS.sub(one, s) if _JOINERS.search(s) else s
 
+def _look_table() -> dict[int, str | None]:
+    """Code point to what stands for it, made from the Unicode data by rule."""
+    letters = {a: b for a, b in zip(CYRILLIC + GREEK, CYRILLIC_LATIN + GREEK_LATIN) if a != " "}
+    table: dict[int, str | None] = {}
+    for cp in range(0x80, 0x10000):
+        ch = chr(cp)
+        kind, _, codes = unicodedata.decomposition(ch).partition(" ")
+        if kind in ("<wide>", "<narrow>", "<noBreak>"):
+            table[cp] = "".join(chr(int(c, 16)) for c in codes.split())
+        elif 0x0370 <= cp < 0x0530 or 0x1F00 <= cp < 0x2000:
+            full = unicodedata.normalize("NFD", ch)
+            if full[0] in letters:
+                table[cp] = unicodedata.normalize("NFC", letters[full[0]] + full[1:])
+        if ch.isspace():
+            table[cp] = " "
+    table |= dict.fromkeys((0x85, 0x2028, 0x2029), "\n")
+    table |= {c: " " for c in range(0x20) if chr(c).isspace() and c != 0x0A}
+    for lo, hi in IGNORABLE_RANGES:
+        table |= dict.fromkeys(range(lo, hi + 1))
+    return table
 
-def _visible(s: str) -> str:
-    """Without default-ignorable characters, line ends as LF, every space as U+0020."""
-    s = _drop_joiners(_IGNORABLE.sub("", s))
-    return _SPACE.sub(" ", _BREAK.sub("\n", s))
 
+_TABLE = _look_table()
+_ODD_SPACE = re.compile(r"[^\S\n ]")
 
-_WIDTHS = ("<wide>", "<narrow>", "<noBreak>")
-_width_memo: dict[str, str] = {}
 
+def _joins(ch: str) -> bool:
+    return any(lo <= ord(ch) <= hi for lo, hi in JOINING_RANGES)
 
-def _plain_width(ch: str) -> str:
-    got = _width_memo.get(ch)
-    if got is None:
-        kind, _, codes = unicodedata.decomposition(ch).partition(" ")
-        got = "".join(chr(int(c, 16)) for c in codes.split()) if kind in _WIDTHS else ch
-        _width_memo[ch] = got
-    return got
 
+def _drop_joiners(s: str) -> str:
+    def one(m: re.Match) -> str:
+        a, b = m.start() - 1, m.end()
+        return m.group() if a >= 0 and b < len(s) and _joins(s[a]) and _joins(s[b]) else ""
 
-_NON_ASCII = re.compile(r"[^\x00-\x7f]")
+    return _JOINERS.sub(one, s)
 
 
 def look_of(text: str) -> str:
     """The text as drawn: widths, spaces, invisible and look-alike characters made one,
-    canonical composition; case, accents, digits and punctuation stay."""
+    canonical composition, LF line ends; case, accents, digits and punctuation stay."""
+    if "\r" in text:
+        text = text.replace("\r\n", "\n").replace("\r", "\n")
     if text.isascii():
-        return _visible(text)
-    s = _NON_ASCII.sub(lambda m: _plain_width(m.group()), text)
-    s = unicodedata.normalize("NFD", _visible(s)).translate(_LETTERS)
-    return unicodedata.normalize("NFC", s)
+        return _ODD_SPACE.sub(" ", text)
+    if "\u200d" in text or "\u200c" in text:
+        text = _drop_joiners(text)
+    return unicodedata.normalize("NFC", unicodedata.normalize("NFC", text).translate(_TABLE))
+
+
+def _fold(look: str) -> str:
+    if not look.isascii():
+        look = look_of(unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", look).casefold()))
+    return " ".join(look.casefold().split())
 
 
 def consistent_form(text: str | None) -> str | None:
     """Compatibility-composed, fully case-folded text with one look-alike alphabet,
     single spaces and no default-ignorable characters. Null stays null."""
-    if text is None:
-        return None
-    s = look_of(text)
-    if not s.isascii():
-        s = unicodedata.normalize("NFKC", s)
-        s = look_of(unicodedata.normalize("NFKC", s.casefold()))
-    return " ".join(s.casefold().split())
+    return None if text is None else _fold(look_of(text))
 
 
 def normalized(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -109,9 +118,10 @@ def _keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = b.column(1).dictionary_encode()
         form, look, raw = [], [], []
         for t in enc.dictionary.to_pylist():
-            f = consistent_form(t)
+            seen = look_of(t)
+            f = _fold(seen)
             form.append(_digest(f) if f else None)
-            look.append(_digest(look_of(t)))
+            look.append(_digest(seen))
             raw.append(_digest(t))
         cols = [pa.array(x, pa.binary()).take(enc.indices) for x in (form, look, raw)]
         out = pa.RecordBatch.from_arrays([b.column(0), *cols], ["doc_id", "form", "look", "raw"])
@@ -135,7 +145,7 @@ def same_look_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     of all rows costs its variants, not its members; only the pairs asked for are
     written out. Null and blank texts are in no pair; repeated rows of one id count once.
     """
-    keys = look_keys(df, id_col, text_col)
+    keys = cut(look_keys(df, id_col, text_col))
     by_look = ["form", "look"]
     mixed = (
         keys.groupBy(*by_look).agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).filter("lo <> hi").select(*by_look)
