@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import sys
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taskmill.llm import keep_together, looks, quota_sample, sorted_runs
+from taskmill.llm import keep_together, looks, quota_sample, sorted_runs, trie_bpe
 from taskmill.llm.words import passage_number, split_kind
 from taskmill.runtime import table
 
@@ -55,6 +58,21 @@ def p6_sample(spark: SparkSession, d: str) -> DataFrame:
     return quota_sample.draw(table(spark, d, "category_targets"), _categories(spark, d))
 
 
+def vocabulary(name: str) -> tuple[str, str]:
+    """(path, pattern) of a public tokenizer; the folder is a parameter of the environment."""
+    folder = os.environ.get("TASKMILL_TOKENIZERS", "/opt/tokenizers")
+    sys.path.append(os.path.dirname(os.path.realpath(folder)))
+    try:
+        import public_tokenizers
+    finally:
+        sys.path.pop()
+    return f"{folder}/{name}", public_tokenizers.PATTERN
+
+
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    return trie_bpe.encoded(table(spark, d, "documents"), "doc_id", "text", *vocabulary("byte_bpe_50k.tiktoken"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return looks.same_look_pairs(table(spark, d, "documents"))
 
@@ -69,7 +87,7 @@ def p9_classes(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p3_found, p3_collapsed, p5_found, p5_splits, p6_found, p6_report, p6_sample, p9_found, p9_form, p9_classes)
+    for f in (p3_found, p3_collapsed, p5_found, p5_splits, p6_found, p6_report, p6_sample, p7_ids, p9_found, p9_form, p9_classes)
 }
 
 _KIND = (
