@@ -8,13 +8,47 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taskmill.llm import keep_together, looks, quota_sample, sorted_runs, trie_bpe
+from taskmill.llm import keep_together, likeness, looks, quota_sample, sorted_runs, trie_bpe
 from taskmill.llm.words import passage_number, split_kind
 from taskmill.runtime import table
 
 SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
 
 
+def _question_records(spark: SparkSession, d: str) -> DataFrame:
+    """(rec_id, side, source, split, text) of both question tables; side 0 is training, 1 held out."""
+    t = table(spark, d, "task_items")
+    t = t.select(F.col("task_key").alias("rec_id"), split_kind(F.col("data_split")).alias("split"), F.col("question_text").alias("text"), F.get_json_object("metadata", "$.benchmark_name").alias("source"))
+    p = table(spark, d, "question_pool")
+    p = p.select(F.col("pool_key").alias("rec_id"), split_kind(F.col("source_split")).alias("split"), F.col("question").alias("text"), F.regexp_replace(F.lower(F.trim("source_dataset")), "^.*/", "").alias("source"))
+    both = t.unionByName(p).filter("split IS NOT NULL")
+    return both.withColumn("side", F.when(F.col("split") == "train", 0).otherwise(1))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return likeness.like_pairs(_question_records(spark, d).select("rec_id", "side", "text"), cross=True)
+
+
+def p1_report(spark: SparkSession, d: str) -> DataFrame:
+    """Overlapping pairs and held-out records per held-out split and source."""
+    recs = _question_records(spark, d)
+    pairs = likeness.like_pairs(recs.select("rec_id", "side", "text"), cross=True)
+    ends = pairs.select(F.explode(F.array("key_a", "key_b")).alias("rec_id"))
+    hits = ends.groupBy("rec_id").agg(F.count("*").alias("n"))
+    held = recs.filter("side = 1").select("rec_id", "split", "source").distinct()
+    return held.join(hits, "rec_id").groupBy("split", "source").agg(F.sum("n").alias("pairs"), F.count("*").alias("held_out_records"))
+
+
+def _task_texts(spark: SparkSession, d: str) -> DataFrame:
+    choices = F.array_join(F.coalesce("choices", F.array().cast("array<string>")), " ")
+    text = F.concat_ws(" ", F.coalesce("question_text", F.lit("")), choices)
+    return table(spark, d, "task_items").select(F.col("task_key").alias("rec_id"), F.lit(0).alias("side"), text.alias("text"))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return likeness.like_pairs(_task_texts(spark, d))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return sorted_runs.copies_found(table(spark, d, "task_lines"))
 
@@ -87,7 +121,7 @@ def p9_classes(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p3_found, p3_collapsed, p5_found, p5_splits, p6_found, p6_report, p6_sample, p7_ids, p9_found, p9_form, p9_classes)
+    for f in (p1_found, p1_report, p4_found, p3_found, p3_collapsed, p5_found, p5_splits, p6_found, p6_report, p6_sample, p7_ids, p9_found, p9_form, p9_classes)
 }
 
 _KIND = (
