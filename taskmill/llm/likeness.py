@@ -70,6 +70,22 @@ class _Bounds:
         return n - self.overlap(2 * n)
 
 
+def _pack(a: np.ndarray) -> bytes:
+    """Smallest unsigned type, bytes by significance, compressed."""
+    import zstandard
+
+    kind = np.min_scalar_type(int(a.max())) if len(a) else np.dtype(np.uint8)
+    planes = np.ascontiguousarray(a.astype(kind)).view(np.uint8).reshape(-1, kind.itemsize).T
+    return bytes([kind.itemsize]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unpack(b: bytes) -> np.ndarray:
+    import zstandard
+
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(b[1:]), np.uint8).reshape(b[0], -1)
+    return np.ascontiguousarray(planes.T).view(f"u{b[0]}").ravel()
+
+
 class _Hashes(dict):
     def __missing__(self, word: str) -> int:
         import xxhash
@@ -125,7 +141,10 @@ def _token_counts(base: DataFrame) -> DataFrame:
     return base.select("canon").mapInArrow(run, "token bigint, texts bigint").groupBy("token").agg(F.sum("texts").alias("texts"))
 
 
-_BLOCK_SCHEMA = "part int, keys binary, docs binary, pos binary, digests binary, sides binary, sizes binary, bits binary, lens binary, pre binary"
+_BLOCK_SCHEMA = "part int, keys binary, docs binary, pos binary, digests binary, bits binary, sides binary, sizes binary, froms binary, pre binary"
+#: Lists are known by 31 bits of a hash, the top bit marks pairs; lists that fall together only cost time.
+_PAIR = np.uint64(1 << 31)
+_KEY = np.uint64((1 << 31) - 1)
 
 
 def _signature_blocks(base: DataFrame, heavy: np.ndarray, counts: np.ndarray, total: int, parts: int, bounds: _Bounds) -> DataFrame:
@@ -152,7 +171,8 @@ def _signature_blocks(base: DataFrame, heavy: np.ndarray, counts: np.ndarray, to
         mixed = _mix(place)
         # One bit a token; tokens that are nearly everywhere tell nothing apart.
         bit = np.where(texts * 5 <= total, np.uint64(1) << (mixed >> np.uint64(58)), np.uint64(0))
-        bits = np.bitwise_or.reduceat(bit, starts)
+        upper = (mixed >> np.uint64(57)) & np.uint64(1) == 1
+        bits = np.stack([np.bitwise_or.reduceat(np.where(upper, np.uint64(0), bit), starts), np.bitwise_or.reduceat(np.where(upper, bit, np.uint64(0)), starts)], axis=1)
         probe = bounds.probe_last(sizes)
         position = np.arange(len(place)) - starts[doc]
         inside = position <= probe[doc]
@@ -164,15 +184,14 @@ def _signature_blocks(base: DataFrame, heavy: np.ndarray, counts: np.ndarray, to
         while len(firsts):  # pairs of a long token and a later one, prefix longer by one
             ok = (position[firsts] + step <= probe[doc[firsts]] + 1) & (position[firsts] + step < sizes[doc[firsts]])
             firsts = firsts[ok]
-            keys.append(_mix(mixed[firsts] ^ (mixed[firsts + step] >> np.uint64(1))) | np.uint64(1 << 63))
+            keys.append(_mix(mixed[firsts] ^ (mixed[firsts + step] >> np.uint64(1))) & _KEY | _PAIR)
             docs.append(doc[firsts])
             last.append(position[firsts] + step)
             step += 1
-        # Bit 63 marks pairs, so a single never shares a list with a pair.
-        keys[0] = keys[0] & np.uint64((1 << 63) - 1)
+        keys[0] = keys[0] & _KEY
         key, d, pos = np.concatenate(keys), np.concatenate(docs), np.concatenate(last)
         part = (_mix(key) >> np.uint64(20)) % np.uint64(parts)
-        code = (mixed >> np.uint64(7)).astype(np.uint16)
+        code = np.where(is_heavy[by], place & 0xFFFF, (mixed >> np.uint64(7)).astype(np.int64) & 0xFFFF).astype(np.uint16)
         keep = np.minimum(sizes, probe + MAX_DEPTH)
         dig = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
         by = np.lexsort((key, part))
@@ -183,12 +202,15 @@ def _signature_blocks(base: DataFrame, heavy: np.ndarray, counts: np.ndarray, to
             if lo == hi:
                 continue
             own, local = np.unique(d[lo:hi], return_inverse=True)
-            lens = keep[own]
-            take = np.repeat(starts[own] - np.concatenate(([0], np.cumsum(lens)[:-1])), lens) + np.arange(lens.sum())
+            # Only what follows a text's first position in this partition can extend it here.
+            froms = np.full(len(own), 1 << 62, np.int64)
+            np.minimum.at(froms, local, pos[lo:hi] + 1)
+            lens = np.maximum(keep[own] - froms, 0)
+            take = np.repeat(starts[own] + froms - np.concatenate(([0], np.cumsum(lens)[:-1])), lens) + np.arange(lens.sum())
             yield {
-                "part": p, "keys": key[lo:hi].tobytes(), "docs": local.astype(np.uint32).tobytes(), "pos": pos[lo:hi].astype(np.uint32).tobytes(),
-                "digests": dig[own].tobytes(), "sides": sides[own].tobytes(), "sizes": sizes[own].astype(np.uint32).tobytes(),
-                "bits": bits[own].tobytes(), "lens": lens.astype(np.uint32).tobytes(), "pre": code[take].tobytes(),
+                "part": p, "keys": _pack(key[lo:hi]), "docs": _pack(local), "pos": _pack(pos[lo:hi]),
+                "digests": dig[own].tobytes(), "bits": bits[own].tobytes(), "sides": _pack(sides[own]), "sizes": _pack(sizes[own]),
+                "froms": _pack(froms), "pre": _pack(code[take]),
             }
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,17 +244,21 @@ class _Texts:
     """The texts of one list partition, copies once."""
 
     def __init__(self, rows: list[dict], bounds: _Bounds, cross: bool):
-        col = lambda c, t: [np.frombuffer(r[c], t) for r in rows]
-        digests = np.concatenate([x.reshape(-1, 2) for x in col("digests", np.uint64)])
-        sides, sizes = np.concatenate(col("sides", np.uint8)), np.concatenate(col("sizes", np.uint32)).astype(np.int64)
-        bits, lens = np.concatenate(col("bits", np.uint64)), np.concatenate(col("lens", np.uint32)).astype(np.int64)
-        self.pre = np.concatenate(col("pre", np.uint16))
-        self.pre_start = np.concatenate(([0], np.cumsum(lens)[:-1]))
-        count = [len(x) // 16 for x in (r["digests"] for r in rows)]
-        base = np.repeat(np.concatenate(([0], np.cumsum(count)[:-1])), [len(x) for x in col("keys", np.uint64)])
-        self.key = np.concatenate(col("keys", np.uint64))
-        self.doc = np.concatenate(col("docs", np.uint32)).astype(np.int64) + base
-        self.pos = np.concatenate(col("pos", np.uint32)).astype(np.int64)
+        col = lambda c: [_unpack(r[c]) for r in rows]
+        pairs = lambda c: np.concatenate([np.frombuffer(r[c], np.uint64).reshape(-1, 2) for r in rows])
+        digests, bits = pairs("digests"), pairs("bits")
+        sides, sizes = np.concatenate(col("sides")), np.concatenate(col("sizes")).astype(np.int64)
+        self.froms = np.concatenate(col("froms")).astype(np.int64)
+        self.probe, self.index = bounds.probe_last(sizes), bounds.index_last(sizes)
+        self.ends = np.minimum(sizes, self.probe + MAX_DEPTH)
+        lens = np.maximum(self.ends - self.froms, 0)
+        self.pre = np.concatenate(col("pre"))
+        self.pre_start = np.concatenate(([0], np.cumsum(lens)[:-1])) - self.froms
+        keys = col("keys")
+        base = np.repeat(np.cumsum([0, *(len(r["digests"]) // 16 for r in rows)])[:-1], [len(k) for k in keys])
+        self.key = np.concatenate(keys).astype(np.uint64)
+        self.doc = np.concatenate(col("docs")).astype(np.int64) + base
+        self.pos = np.concatenate(col("pos")).astype(np.int64)
         by = np.lexsort((sides, digests[:, 1], digests[:, 0]))
         s = digests[by]
         again = np.zeros(len(by), bool)
@@ -241,8 +267,7 @@ class _Texts:
         copy[by] = again
         keep = ~copy[self.doc]
         self.key, self.doc, self.pos = self.key[keep], self.doc[keep], self.pos[keep]
-        self.digests, self.sides, self.sizes, self.bits, self.lens = digests, sides, sizes, bits, lens
-        self.probe, self.index = bounds.probe_last(sizes), bounds.index_last(sizes)
+        self.digests, self.sides, self.sizes, self.low, self.high = digests, sides, sizes, bits[:, 0].copy(), bits[:, 1].copy()
         self.most, self.least = bounds.most_size(sizes), bounds.least_size(sizes)
         self.bounds, self.cross = bounds, cross
 
@@ -288,7 +313,8 @@ def _candidates(t: _Texts, key: np.ndarray, doc: np.ndarray, pos: np.ndarray, de
         da, db = doc[a], doc[b]
         both = t.sizes[da] + t.sizes[db]
         need = t.bounds.overlap(both)
-        ok = np.bitwise_count(t.bits[da] ^ t.bits[db]) <= both - 2 * need
+        apart = np.bitwise_count(t.low[da] ^ t.low[db]).astype(np.int64) + np.bitwise_count(t.high[da] ^ t.high[db])
+        ok = apart <= both - 2 * need
         ok &= depth + np.minimum(t.sizes[da] - pos[a], t.sizes[db] - pos[b]) - 1 >= need
         if t.cross:
             ok &= t.sides[da] != t.sides[db]
@@ -298,7 +324,7 @@ def _candidates(t: _Texts, key: np.ndarray, doc: np.ndarray, pos: np.ndarray, de
         out.append(np.unique((np.minimum(da, db) << 32) | np.maximum(da, db)))
         at = end
     inner = np.flatnonzero(chosen)
-    room = np.minimum(t.lens[doc[inner]] - 1, t.probe[doc[inner]] + depth) - pos[inner]
+    room = np.minimum(t.ends[doc[inner]] - 1, t.probe[doc[inner]] + depth) - pos[inner]
     inner, room = inner[room > 0], room[room > 0]
     ends, at = np.cumsum(room), 0
     while at < len(inner):
@@ -326,7 +352,7 @@ def _list_pairs(bounds: _Bounds, cross: bool, limit: int):
         for part in list(by_part):
             t = _Texts(by_part.pop(part), bounds, cross)
             out: list[np.ndarray] = []
-            pair = (t.key >> np.uint64(63)).astype(bool)
+            pair = t.key >= _PAIR
             for depth, sel in ((1, ~pair), (2, pair)):
                 if sel.any():
                     _candidates(t, t.key[sel], t.doc[sel], t.pos[sel], depth, out, limit)
@@ -384,7 +410,7 @@ def like_classes(docs: DataFrame, num: int = 7, den: int = 10, cross: bool = Fal
     first = one.select(F.col("digest").alias("da"), F.col("canon").alias("ca"))
     second = one.select(F.col("digest").alias("db"), F.col("canon").alias("cb"))
     checked = found.join(first, "da").join(second, "db").select("da", "db", "ca", "cb").mapInArrow(_verify(bounds), "da binary, db binary")
-    return base.select("digest", "side", "rec_id").distinct(), checked
+    return base.select("digest", "side", "rec_id"), checked
 
 
 def like_pairs(docs: DataFrame, num: int = 7, den: int = 10, cross: bool = False) -> DataFrame:
