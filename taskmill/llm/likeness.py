@@ -121,7 +121,7 @@ def _tokens(canons: list[str], hashes: _Hashes) -> tuple[np.ndarray, np.ndarray]
 
 def canonical(text: str) -> str:
     """SQL expression of the sorted words of a text, joined by blanks."""
-    return f"array_join(array_sort(regexp_extract_all(lower({text}), '[\\\\p{{L}}\\\\p{{N}}]+', 0)), ' ')"
+    return f"array_join(sort_array(regexp_extract_all(lower({text}), '[\\\\p{{L}}\\\\p{{N}}]+', 0)), ' ')"
 
 
 def _token_counts(base: DataFrame) -> DataFrame:
