@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taskmill.runtime import shuffle_partitions
+from taskmill.runtime import shuffle_partitions, stored
 
 #: A token is heavy if it is in more than one of so many texts. There are at most
 #: HEAVY_ONE_IN * (words per text) heavy tokens, whatever the size of the corpus.
@@ -398,9 +398,9 @@ def like_classes(docs: DataFrame, num: int = 7, den: int = 10, cross: bool = Fal
     """
     bounds = _Bounds(num, den)
     base = docs.select("rec_id", F.col("side").cast("int").alias("side"), F.expr(canonical("text")).alias("canon"))
-    base = base.filter("rec_id IS NOT NULL AND canon <> ''").withColumn("digest", F.unhex(F.md5("canon")))
+    base = stored(base.filter("rec_id IS NOT NULL AND canon <> ''").withColumn("digest", F.unhex(F.md5("canon"))))
     stats = _token_counts(base)
-    total = docs.count()
+    total = base.count()
     heavy = stats.filter((F.col("texts") > max(1, total // HEAVY_ONE_IN)) & (F.col("token") >= 0)).toPandas()
     heavy = heavy.sort_values(["texts", "token"])
     parts = shuffle_partitions(docs.sparkSession)
