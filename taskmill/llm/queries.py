@@ -8,7 +8,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taskmill.llm import keep_together, likeness, looks, quota_sample, sorted_runs, trie_bpe
+from taskmill.llm import keep_together, leaks, likeness, looks, quota_sample, sorted_runs, trie_bpe
 from taskmill.llm.words import passage_number, split_kind
 from taskmill.runtime import table
 
@@ -107,6 +107,14 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return trie_bpe.encoded(table(spark, d, "documents"), "doc_id", "text", *vocabulary("byte_bpe_50k.tiktoken"))
 
 
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p8_items(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.leak_report(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return looks.same_look_pairs(table(spark, d, "documents"))
 
@@ -121,7 +129,7 @@ def p9_classes(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_report, p4_found, p3_found, p3_collapsed, p5_found, p5_splits, p6_found, p6_report, p6_sample, p7_ids, p9_found, p9_form, p9_classes)
+    for f in (p1_found, p1_report, p4_found, p3_found, p3_collapsed, p5_found, p5_splits, p6_found, p6_report, p6_sample, p7_ids, p8_found, p8_items, p9_found, p9_form, p9_classes)
 }
 
 _KIND = (
