@@ -8,7 +8,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taskmill.llm import keep_together, leaks, likeness, looks, quota_sample, sorted_runs, trie_bpe
+from taskmill.llm import defects, keep_together, leaks, likeness, looks, quota_sample, sorted_runs, trie_bpe
 from taskmill.llm.words import passage_number, split_kind
 from taskmill.runtime import table
 
@@ -49,6 +49,16 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return likeness.like_pairs(_task_texts(spark, d))
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return defects.defects(table(spark, d, "parsed_responses"), table(spark, d, "task_items"))
+
+
+def p2_report(spark: SparkSession, d: str) -> DataFrame:
+    found = p2_found(spark, d)
+    who = table(spark, d, "parsed_responses").select("response_id", "responder").distinct()
+    return found.join(who, "response_id").groupBy("responder", "defect").agg(F.count("*").alias("responses"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return sorted_runs.copies_found(table(spark, d, "task_lines"))
 
@@ -129,7 +139,7 @@ def p9_classes(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_report, p4_found, p3_found, p3_collapsed, p5_found, p5_splits, p6_found, p6_report, p6_sample, p7_ids, p8_found, p8_items, p9_found, p9_form, p9_classes)
+    for f in (p1_found, p1_report, p2_found, p2_report, p3_found, p3_collapsed, p4_found, p5_found, p5_splits, p6_found, p6_report, p6_sample, p7_ids, p8_found, p8_items, p9_found, p9_form, p9_classes)
 }
 
 _KIND = (
