@@ -19,16 +19,16 @@ def ranked(df: DataFrame, group: str | None, order: list[str], name: str = "rank
     spark = df.sparkSession
     keys = ([group] if group else []) + order
     parts = df.repartitionByRange(shuffle_partitions(spark), *keys).sortWithinPartitions(*keys)
-    parts = cut(parts.withColumn("_mid", F.monotonically_increasing_id()))
-    part, at = F.shiftright("_mid", 33), F.col("_mid").bitwiseAND((1 << 33) - 1)
-    parts = parts.withColumn("_part", part).withColumn("_at", at).drop("_mid")
+    parts = cut(parts.withColumn("__mid", F.monotonically_increasing_id()))
+    part, at = F.shiftright("__mid", 33), F.col("__mid").bitwiseAND((1 << 33) - 1)
+    parts = parts.withColumn("__part", part).withColumn("__at", at).drop("__mid")
     g = F.col(group) if group else F.lit(None).cast("string")
-    parts = parts.withColumn("_group", g)
-    counts = parts.groupBy("_group", "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy("_group").orderBy("_part")) - F.col("_n")
-    counts = counts.withColumn("_before", before).select(F.col("_group").alias("_g"), F.col("_part").alias("_p"), "_first", "_before")
-    out = parts.join(counts, (F.col("_group").eqNullSafe(F.col("_g"))) & (F.col("_part") == F.col("_p")))
-    return out.withColumn(name, F.col("_before") + F.col("_at") - F.col("_first")).drop("_part", "_at", "_group", "_g", "_p", "_first", "_before")
+    parts = parts.withColumn("__group", g)
+    counts = parts.groupBy("__group", "__part").agg(F.min("__at").alias("__first"), F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("__group").orderBy("__part")) - F.col("__n")
+    counts = counts.withColumn("__before", before).select(F.col("__group").alias("__g"), F.col("__part").alias("__p"), "__first", "__before")
+    out = parts.join(counts, (F.col("__group").eqNullSafe(F.col("__g"))) & (F.col("__part") == F.col("__p")))
+    return out.withColumn(name, F.col("__before") + F.col("__at") - F.col("__first")).drop("__part", "__at", "__group", "__g", "__p", "__first", "__before")
 
 
 def interleaved(df: DataFrame, group: str, order: list[str], limit: int | None = None) -> DataFrame:
@@ -44,13 +44,13 @@ def interleaved(df: DataFrame, group: str, order: list[str], limit: int | None =
     rows = ranked(df, group, order, "row_in_group")
     sizes = [r["n"] for r in df.groupBy(group).agg(F.count("*").alias("n")).orderBy(F.col(group).asc_nulls_first()).collect()]
     names = df.select(group).distinct()
-    named = names.withColumn("_pos", F.row_number().over(Window.orderBy(F.col(group).asc_nulls_first())) - 1).withColumnRenamed(group, "_name")
-    out = rows.join(F.broadcast(named), F.col(group).eqNullSafe(F.col("_name"))) if len(sizes) <= 10_000 else rows.join(named, F.col(group).eqNullSafe(F.col("_name")))
+    named = names.withColumn("__pos", F.row_number().over(Window.orderBy(F.col(group).asc_nulls_first())) - 1).withColumnRenamed(group, "__name")
+    out = rows.join(F.broadcast(named), F.col(group).eqNullSafe(F.col("__name"))) if len(sizes) <= 10_000 else rows.join(named, F.col(group).eqNullSafe(F.col("__name")))
     all_sizes = F.array(*[F.lit(int(n)).cast("bigint") for n in sizes]) if sizes else F.array().cast("array<bigint>")
-    r, g = F.col("row_in_group"), F.col("_pos")
+    r, g = F.col("row_in_group"), F.col("__pos")
     full = F.aggregate(all_sizes, F.lit(0).cast("bigint"), lambda a, n: a + F.least(n, r))
     level = F.size(F.filter(all_sizes, lambda n, i: (n > r) & (i < g)))
-    out = out.withColumn("position", full + level).drop("_name", "_pos")
+    out = out.withColumn("position", full + level).drop("__name", "__pos")
     return out if limit is None else out.filter(F.col("position") < limit)
 
 

@@ -49,5 +49,5 @@ def infer_subject(rows: DataFrame, row_id: str, text: str, index: DataFrame) ->
     best = best.filter("score > 0").select(row_id, "config", "score")
     out = rows.select(row_id).join(best, row_id, "left")
     return out.select(
-        row_id, "config", F.coalesce(subject_name(F.col("config")), F.lit(FALLBACK)).alias("subject"), F.coalesce("score", F.lit(0).cast("bigint")).alias("score")
+        row_id, "config", F.when(F.col("config").isNotNull(), subject_name(F.col("config"))).otherwise(FALLBACK).alias("subject"), F.coalesce("score", F.lit(0).cast("bigint")).alias("score")
     )

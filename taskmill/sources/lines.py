@@ -30,7 +30,10 @@ def read_lines_if_any(spark: SparkSession, path: str) -> DataFrame:
 
 def _kind(v: Column) -> Column:
     """JSON kind of a variant: string, number, boolean, array, object, null; null if absent."""
-    s = F.schema_of_variant(v)
+    return _kind_of(F.schema_of_variant(v))
+
+
+def _kind_of(s: Column) -> Column:
     return (
         F.when(s == "STRING", "string").when(s == "BOOLEAN", "boolean").when(s == "VOID", "null")
         .when(s.startswith("ARRAY"), "array").when(s.startswith("OBJECT"), "object").when(s.isNotNull(), "number")
@@ -55,7 +58,7 @@ class _Row:
 def _text(v: Column) -> Column:
     """A scalar as Python would print it, stripped; null for JSON null."""
     s = F.try_variant_get(v, "$", "string")
-    return strip(F.when(_kind(v) == "boolean", F.initcap(s)).otherwise(s))
+    return strip(F.when(F.schema_of_variant(v) == "BOOLEAN", F.initcap(s)).otherwise(s))
 
 
 def _strings(v: Column) -> Column:
@@ -78,26 +81,29 @@ def tasks_from_lines(lines: DataFrame, col: str = "line") -> DataFrame:
     from ``question_id`` over ``seed_id`` and ``id`` to a hash of question and answer.
     """
     r = _Row()
-    rows = parsed(lines, col)
-    m = {k: r.at(*v) for k, v in KEYS.items()}
-    contract = r.at("contract")
-    question = F.coalesce(_text(m["question_text"]), F.lit(""))
-    answer = F.coalesce(_text(m["reference_answer"]), F.lit(""))
-    choices_v, aliases_v, meta_v = r.at("choices"), m["reference_aliases"], r.at("metadata")
-    named = F.lower(F.coalesce(_text(r.at("question_type")), F.lit("")))
+    members = {k: r.at(*v) for k, v in KEYS.items()}
+    for k in ("contract", "choices", "metadata", "question_type", "domain", "question_id", "seed_id", "id", "benchmark_name"):
+        members[k] = r.at(k)
+    # In steps, so that no member is looked up or typed more than once.
+    rows = parsed(lines, col).select(*lines.columns, "_v", *[m.alias(f"_m_{k}") for k, m in members.items()])
+    typed = ("_v", "_m_reference_answer_index", "_m_choices", "_m_reference_aliases", "_m_metadata")
+    rows = rows.select("*", *[F.schema_of_variant(k).alias(f"_s{k}") for k in typed])
+    text = lambda k: _text(F.col(f"_m_{k}"))
     rows = rows.select(
-        *[c for c in lines.columns],
-        "_v",
-        question.alias("question_text"), answer.alias("reference_answer"), clean_list(_strings(choices_v)).alias("choices"),
-        clean_list(_strings(aliases_v)).alias("reference_aliases"), named.alias("_named"),
-        _text(m["reference_answer_index"]).alias("_index"), _kind(m["reference_answer_index"]).alias("_index_kind"),
-        _kind(F.col("_v")).alias("_kind"), _kind(choices_v).alias("_choices_kind"), _kind(aliases_v).alias("_aliases_kind"), _kind(meta_v).alias("_meta_kind"),
-        F.when(contract.isNull(), F.lit("task_v1")).otherwise(F.coalesce(F.try_variant_get(contract, "$", "string"), F.lit("null"))).alias("_contract"),
-        F.coalesce(non_blank(_text(m["data_split"])), F.lit("train")).alias("data_split"),
-        F.coalesce(non_blank(_text(r.at("domain"))), F.lit("unknown")).alias("domain"),
-        F.coalesce(*[non_blank(_text(r.at(k))) for k in ("question_id", "seed_id", "id")]).alias("_id"),
-        non_blank(_text(r.at("benchmark_name"))).alias("_benchmark"),
-        F.coalesce(F.to_json(meta_v), F.lit("{}")).alias("_meta"),
+        *lines.columns,
+        F.col("_v").isNull().alias("_broken"),
+        F.coalesce(text("question_text"), F.lit("")).alias("question_text"), F.coalesce(text("reference_answer"), F.lit("")).alias("reference_answer"),
+        clean_list(_strings(F.col("_m_choices"))).alias("choices"), clean_list(_strings(F.col("_m_reference_aliases"))).alias("reference_aliases"),
+        F.lower(F.coalesce(text("question_type"), F.lit(""))).alias("_named"),
+        text("reference_answer_index").alias("_index"), _kind_of(F.col("_s_m_reference_answer_index")).alias("_index_kind"),
+        _kind_of(F.col("_s_v")).alias("_kind"), _kind_of(F.col("_s_m_choices")).alias("_choices_kind"),
+        _kind_of(F.col("_s_m_reference_aliases")).alias("_aliases_kind"), _kind_of(F.col("_s_m_metadata")).alias("_meta_kind"),
+        F.when(F.col("_m_contract").isNull(), F.lit("task_v1")).otherwise(F.coalesce(F.try_variant_get("_m_contract", "$", "string"), F.lit("null"))).alias("_contract"),
+        F.coalesce(non_blank(text("data_split")), F.lit("train")).alias("data_split"),
+        F.coalesce(non_blank(text("domain")), F.lit("unknown")).alias("domain"),
+        F.coalesce(*[non_blank(text(k)) for k in ("question_id", "seed_id", "id")]).alias("_id"),
+        non_blank(text("benchmark_name")).alias("_benchmark"),
+        F.coalesce(F.to_json("_m_metadata"), F.lit("{}")).alias("_meta"),
     )
     qt = F.when(F.col("_named") != "", F.col("_named")).when(F.size("choices") > 0, QUESTION_TYPES[0]).otherwise(QUESTION_TYPES[1])
     rows = rows.withColumn("question_type", qt)
@@ -113,7 +119,7 @@ def tasks_from_lines(lines: DataFrame, col: str = "line") -> DataFrame:
     bad_index = i.isNull() | (i < 0) | (i >= F.size("choices"))
     mc = F.col("question_type") == QUESTION_TYPES[0]
     error = (
-        F.when(F.col("_v").isNull(), "not JSON")
+        F.when(F.col("_broken"), "not JSON")
         .when(F.col("_kind") != "object", "not an object")
         .when(~F.col("_contract").isin(CONTRACTS), "unsupported contract")
         .when(F.col("question_text") == "", "no question_text")
