@@ -74,6 +74,12 @@ def parsed(lines: DataFrame, col: str = "line") -> DataFrame:
     return kept.withColumn("_v", F.when(whole, F.try_parse_json(col)))
 
 
+def _whole(rows: DataFrame) -> DataFrame:
+    """The same rows behind a generator, through which no filter is pushed: a test of
+    ``error`` would otherwise be copied, with all it is made of, to below the parsing."""
+    return rows.select(F.inline(F.array(F.struct(*rows.columns))))
+
+
 def tasks_from_lines(lines: DataFrame, col: str = "line") -> DataFrame:
     """Task columns and ``error`` beside the columns of ``lines``.
 
@@ -131,7 +137,7 @@ def tasks_from_lines(lines: DataFrame, col: str = "line") -> DataFrame:
         .when(F.coalesce("_meta_kind", F.lit("object")) != "object", "metadata is no object")
         .when(~F.coalesce("_aliases_kind", F.lit("null")).isin("array", "null"), "aliases is no list")
     )
-    return rows.select(*lines.columns, *TASK_COLUMNS, error.alias("error"))
+    return _whole(rows.select(*lines.columns, *TASK_COLUMNS, error.alias("error")))
 
 
 def pool_from_lines(lines: DataFrame, col: str = "line") -> DataFrame:
@@ -149,7 +155,7 @@ def pool_from_lines(lines: DataFrame, col: str = "line") -> DataFrame:
     whole = F.try_variant_get(members["answer_index"], "$", "string").rlike(r"^-?[0-9]+\z|^true\z|^false\z")
     error = error.when(~F.coalesce(_kind(members["answer_index"]), F.lit("null")).isin("number", "null", "boolean") | ~F.coalesce(whole, F.lit(True)), "invalid answer_index")
     error = error.when(F.coalesce(_kind(members["meta"]), F.lit("null")) != "object", "invalid meta")
-    return rows.select(
+    return _whole(rows.select(
         *lines.columns,
         *[F.try_variant_get(members[k], "$", "string").alias(k) for k in texts[:4]],
         F.try_variant_get(members["choices"], "$", "array<string>").alias("choices"),
@@ -158,7 +164,7 @@ def pool_from_lines(lines: DataFrame, col: str = "line") -> DataFrame:
         F.try_variant_get(members["prompt_text"], "$", "string").alias("prompt_text"),
         F.to_json(members["meta"]).alias("meta"),
         error.alias("error"),
-    )
+    ))
 
 
 def samples_from_lines(lines: DataFrame, col: str = "line") -> DataFrame:
