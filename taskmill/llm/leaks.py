@@ -152,6 +152,8 @@ def _search(index: SeedIndex, texts: list[str | None]) -> Iterator[tuple[int, in
         return
     at = np.minimum(np.searchsorted(index.hashes, h), len(index.hashes) - 1)
     hit = np.flatnonzero((index.hashes[at] == h) & (h != 0))
+    if not len(hit):
+        return
     seed = at[hit]
     many = index.count[seed]
     pos = np.repeat(hit, many)
