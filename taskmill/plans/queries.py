@@ -263,8 +263,8 @@ def source_count(spark: SparkSession, d: str) -> DataFrame:
 
 
 def anti_append(spark: SparkSession, d: str) -> DataFrame:
-    samples = table(spark, d, "customer").select(F.col("c_custkey").alias("sample_id"), "c_name")
-    written = table(spark, d, "orders").select(F.col("o_custkey").alias("sample_id"))
+    samples = table(spark, d, "task_items").select(F.col("task_key").alias("sample_id"), "question_id")
+    written = table(spark, d, "parsed_responses").select(F.col("task_key").alias("sample_id"))
     return sinks.append_new(samples, written, "sample_id")
 
 
@@ -446,6 +446,6 @@ SQL = {
     "union_lazy": """SELECT 0 AS source_pos, c_custkey AS key, c_name AS name FROM customer ORDER BY key LIMIT 100""",
     "union_all": """SELECT 0 AS source_pos, c_custkey AS key, c_name AS name FROM customer UNION ALL SELECT 1, s_suppkey, s_name FROM supplier""",
     "source_count": "SELECT source, count(*) AS rows FROM documents GROUP BY source",
-    "anti_append": "SELECT c_custkey AS sample_id, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)",
+    "anti_append": "SELECT task_key AS sample_id, question_id FROM task_items t WHERE NOT EXISTS (SELECT 1 FROM parsed_responses r WHERE r.task_key = t.task_key)",
     "slice_rows": "SELECT printf('mmlu_%06d', n) AS sample_id, o_orderkey, o_custkey FROM (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS n, o_orderkey, o_custkey FROM orders) WHERE n BETWEEN 500 AND 1499",
 }
