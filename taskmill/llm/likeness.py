@@ -25,7 +25,7 @@ from taskmill.runtime import shuffle_partitions, stored
 #: A token is heavy if it is in more than one of so many texts. There are at most
 #: HEAVY_ONE_IN * (words per text) heavy tokens, whatever the size of the corpus.
 HEAVY_ONE_IN = 5000
-#: Texts expected in one shuffled list; longer lists are shuffled as pairs of tokens.
+#: Texts expected in one shuffled list; longer lists are shuffled by two to MAX_DEPTH tokens.
 LIST_TEXTS = 200_000
 #: A list is split by a further token if its comparisons exceed so many a member.
 COMPARE_A_MEMBER = 24
@@ -142,9 +142,13 @@ def _token_counts(base: DataFrame) -> DataFrame:
 
 
 _BLOCK_SCHEMA = "part int, keys binary, docs binary, pos binary, digests binary, bits binary, sides binary, sizes binary, froms binary, pre binary"
-#: Lists are known by 31 bits of a hash, the top bit marks pairs; lists that fall together only cost time.
-_PAIR = np.uint64(1 << 31)
-_KEY = np.uint64((1 << 31) - 1)
+#: Lists are known by 30 bits of a hash below the number of tokens they share; lists that
+#: fall together only cost time.
+_KEY = np.uint64((1 << 30) - 1)
+
+
+def _level(depth: int) -> np.uint64:
+    return np.uint64(depth - 1) << np.uint64(30)
 
 
 def _signature_blocks(base: DataFrame, heavy: np.ndarray, counts: np.ndarray, total: int, parts: int, bounds: _Bounds) -> DataFrame:
@@ -178,17 +182,30 @@ def _signature_blocks(base: DataFrame, heavy: np.ndarray, counts: np.ndarray, to
         inside = position <= probe[doc]
         long_list = texts > list_texts
         at = np.flatnonzero(inside & ~long_list)
-        keys, docs, last = [mixed[at]], [doc[at]], [position[at]]
-        firsts = np.flatnonzero(inside & long_list)
-        step = 1
-        while len(firsts):  # pairs of a long token and a later one, prefix longer by one
-            ok = (position[firsts] + step <= probe[doc[firsts]] + 1) & (position[firsts] + step < sizes[doc[firsts]])
-            firsts = firsts[ok]
-            keys.append(_mix(mixed[firsts] ^ (mixed[firsts + step] >> np.uint64(1))) & _KEY | _PAIR)
-            docs.append(doc[firsts])
-            last.append(position[firsts] + step)
-            step += 1
-        keys[0] = keys[0] & _KEY
+        keys, docs, last = [mixed[at] & _KEY], [doc[at]], [position[at]]
+        # Long lists are split by later tokens, the prefix one longer each time, until the
+        # expected list is short. Texts too small to share another token stay in the long one.
+        now = np.flatnonzero(inside & long_list)
+        key, expect, depth = mixed[now], texts[now], 1
+        while len(now):
+            stay = bounds.least_size(sizes[doc[now]]) <= depth
+            keys.append(key[stay] & _KEY | _level(depth))
+            docs.append(doc[now[stay]])
+            last.append(position[now[stay]])
+            found = []
+            step = 1
+            while len(now):
+                ok = (position[now] + step <= probe[doc[now]] + depth) & (position[now] + step < sizes[doc[now]])
+                now, key, expect = now[ok], key[ok], expect[ok]
+                found.append((now + step, _mix(key ^ (mixed[now + step] >> np.uint64(1))), expect * texts[now + step] / total))
+                step += 1
+            now, key, expect = (np.concatenate(x) for x in zip(*found))
+            depth += 1
+            done = (expect <= list_texts) | (depth == MAX_DEPTH)
+            keys.append(key[done] & _KEY | _level(depth))
+            docs.append(doc[now[done]])
+            last.append(position[now[done]])
+            now, key, expect = now[~done], key[~done], expect[~done]
         key, d, pos = np.concatenate(keys), np.concatenate(docs), np.concatenate(last)
         part = (_mix(key) >> np.uint64(20)) % np.uint64(parts)
         code = np.where(is_heavy[by], place & 0xFFFF, (mixed >> np.uint64(7)).astype(np.int64) & 0xFFFF).astype(np.uint16)
@@ -352,8 +369,9 @@ def _list_pairs(bounds: _Bounds, cross: bool, limit: int):
         for part in list(by_part):
             t = _Texts(by_part.pop(part), bounds, cross)
             out: list[np.ndarray] = []
-            pair = t.key >= _PAIR
-            for depth, sel in ((1, ~pair), (2, pair)):
+            level = t.key >> np.uint64(30)
+            for depth in range(1, MAX_DEPTH + 1):
+                sel = level == depth - 1
                 if sel.any():
                     _candidates(t, t.key[sel], t.doc[sel], t.pos[sel], depth, out, limit)
             if not out:
@@ -419,10 +437,11 @@ def like_pairs(docs: DataFrame, num: int = 7, den: int = 10, cross: bool = False
     members, pairs = like_classes(docs, num, den, cross)
     left = pairs.join(members.select(F.col("digest").alias("da"), F.col("side").alias("sa"), F.col("rec_id").alias("x")), "da")
     linked = left.join(members.select(F.col("digest").alias("db"), F.col("side").alias("sb"), F.col("rec_id").alias("y")), "db")
-    same = members.alias("a").join(members.alias("b"), "digest").select(
+    a, b = (members.filter("side = 0"), members.filter("side <> 0")) if cross else (members, members)
+    same = a.alias("a").join(b.alias("b"), "digest").select(
         F.col("a.side").alias("sa"), F.col("b.side").alias("sb"), F.col("a.rec_id").alias("x"), F.col("b.rec_id").alias("y")
     )
-    both = linked.select("sa", "sb", "x", "y").unionByName(same.filter("x < y"))
+    both = linked.select("sa", "sb", "x", "y").unionByName(same if cross else same.filter("x < y"))
     if cross:
         both = both.filter("sa <> sb")
     both = both.filter("x <> y").select(F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b"))

@@ -162,7 +162,23 @@ x AS (
   LEFT JOIN c ON c.table_name = t.table_name AND c.cat = {_CAT.format('category')})
 """
 
+def _first(*names: str) -> str:
+    out = f"raw ->> '$.{names[-1]}'"
+    for n in reversed(names[:-1]):
+        out = f"CASE WHEN list_contains(json_keys(raw), '{n}') THEN raw ->> '$.{n}' ELSE {out} END"
+    return f"array_to_string(regexp_extract_all(lower(coalesce({out}, '')), '[\\p{{L}}\\p{{N}}]+'), ' ')"
+
+
+_LINES = f"""
+WITH l AS (SELECT line_id, CASE WHEN json_valid(raw_json) THEN raw_json END AS raw FROM task_lines),
+k AS (SELECT line_id, {_first('question_text', 'question')} AS q, {_first('reference_answer', 'answer', 'gold_answer')} AS a
+  FROM l WHERE raw IS NOT NULL AND json_type(raw) = 'OBJECT'),
+g AS (SELECT line_id, min(line_id) OVER (PARTITION BY q, a) AS keep_id FROM k WHERE q <> '' OR a <> '')
+"""
+
 SQL = {
+    "p3_found": _LINES + "SELECT keep_id, line_id AS copy_id FROM g WHERE keep_id <> line_id",
+    "p3_collapsed": _LINES + "SELECT keep_id, count(*) AS copies FROM g GROUP BY keep_id",
     "p5_found": f"""
       SELECT CAST(p AS BIGINT) AS passage_no FROM (
         SELECT regexp_extract(question_id, '(?i)(?:^\\s*tq_|(?:::|/)\\s*p)0*(\\d+)\\s*(?:--|[-_.]q)\\s*\\d+\\s*$', 1) AS p,

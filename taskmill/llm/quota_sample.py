@@ -23,7 +23,7 @@ def needs(targets: DataFrame, counts: DataFrame) -> DataFrame:
     targets count as 0.
     """
     totals = counts.groupBy("table_name").agg(F.sum("n").alias("total"))
-    t = targets.withColumn("cat", category_key(F.col("category")))
+    t = targets.select("plan_id", "table_name", "category", "target_permille", "min_rows", "sample_permille", category_key(F.col("category")).alias("cat"))
     t = t.join(totals, "table_name", "left").join(counts, ["table_name", "cat"], "left")
     z = lambda c: F.coalesce(F.col(c).cast("bigint"), F.lit(0).cast("bigint"))
     size = F.expr("coalesce(total, 0) * coalesce(cast(sample_permille as bigint), 0) div 1000")

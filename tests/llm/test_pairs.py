@@ -60,6 +60,14 @@ def test_equals_brute_force(spark, monkeypatch, cross, compare, texts):
     assert got == brute(rows, cross) and got
 
 
+def test_low_threshold_and_tiny_texts(spark, monkeypatch):
+    monkeypatch.setattr(likeness, "COMPARE_A_MEMBER", 0)
+    monkeypatch.setattr(likeness, "LIST_TEXTS", 1)
+    rows = [(i, 0, t) for i, t in enumerate(["a", "a b", "a b c", "b", "b c", "a a", "c b a d", "a b c d e", "x"] * 3)] + [(100 + r[0], 0, r[2]) for r in corpus(5, 60)]
+    df = spark.createDataFrame(rows, "rec_id bigint, side int, text string")
+    assert {tuple(r) for r in likeness.like_pairs(df, 1, 2).collect()} == brute(rows, False, 0.5)
+
+
 def test_awkward_rows(spark):
     long = " ".join(f"z{i % 997}" for i in range(30_000))
     rows = [(1, 0, None), (2, 0, ""), (3, 1, " \n!? "), (4, 0, "one"), (5, 1, "ONE."), (5, 1, "ONE."), (6, 0, long), (7, 1, long + " more"), (None, 1, "one"), (8, 0, "a a a a"), (9, 1, "a a a")]

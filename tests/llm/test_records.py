@@ -80,6 +80,7 @@ def test_quota_sample(spark):
     rows = [("t", ["Red_fish", "red  FISH", "red-fish"][i % 3], i) for i in range(3000)] + [("t", "blue", 5000 + i) for i in range(4)] + [("t", None, 9000)]
     df = spark.createDataFrame(rows, "table_name string, category string, rec_id bigint")
     targets = spark.createDataFrame([(1, "t", "red fish", 500, 2, 100), (1, "t", "blue", 1, 5, 100), (1, "t", "none", 10, 1, 100)], "plan_id int, table_name string, category string, target_permille int, min_rows int, sample_permille int")
+    targets = targets.withColumn("n", F.lit(1)).withColumn("cat", F.lit("x")).withColumn("total", F.lit(0))
     assert {tuple(r) for r in quota_sample.unmet(targets, df).collect()} == {(1, "blue", 5, 4), (1, "none", 3, 0)}
     drawn = quota_sample.draw(targets, df).collect()
     counts = {c: sum(r["category"] == c for r in drawn) for c in ("red fish", "blue")}
