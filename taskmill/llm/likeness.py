@@ -31,6 +31,8 @@ LIST_TEXTS = 200_000
 COMPARE_A_MEMBER = 24
 #: Members that a task expands, and comparisons it makes, at once.
 BLOCK = 2_000_000
+#: A list partition, which one task holds, takes the lists of so many texts at most on average.
+TEXTS_A_PARTITION = 50_000
 #: Texts in one block of signatures.
 TEXTS_A_BLOCK = 50_000
 MAX_DEPTH = 4
@@ -421,7 +423,7 @@ def like_classes(docs: DataFrame, num: int = 7, den: int = 10, cross: bool = Fal
     total = base.count()
     heavy = stats.filter((F.col("texts") > max(1, total // HEAVY_ONE_IN)) & (F.col("token") >= 0)).toPandas()
     heavy = heavy.sort_values(["texts", "token"])
-    parts = shuffle_partitions(docs.sparkSession)
+    parts = max(shuffle_partitions(docs.sparkSession), total // TEXTS_A_PARTITION + 1)
     blocks = _signature_blocks(base, heavy["token"].to_numpy(np.int64), heavy["texts"].to_numpy(np.float64), total, parts, bounds)
     found = blocks.repartition(parts, "part").mapInArrow(_list_pairs(bounds, cross, COMPARE_A_MEMBER), "da binary, db binary").distinct()
     one = base.groupBy("digest").agg(F.min("canon").alias("canon"))
