@@ -82,3 +82,19 @@ def test_defects(spark):
     assert got == want
     assert defects.defects(r.limit(0), t).count() == 0
     assert defects.defects(r, t.limit(0)).count() > 0
+
+
+def _tables(spark, responses, n=40):
+    v = vocabulary(60, 5)
+    tasks = [(k, f"The {v[k]} of the harbor was joined by the {v[k + 7]} and then by the {v[k + 11]}. Which wheel is moved?", ["the wheel of the harbor"], "the wheel of the harbor", None) for k in range(n)]
+    r = spark.createDataFrame(responses, "response_id bigint, task_key bigint, final_answer string, reasoning string, raw_response string")
+    return r, spark.createDataFrame(tasks, "task_key bigint, question_text string, choices array<string>, reference_answer string, reference_aliases array<string>"), tasks
+
+
+def test_defects_beside_many_null_task_keys(spark):
+    nulls = [(i, None, "the wheel of the harbor", None, "{}") for i in range(150)]
+    _, _, tasks = _tables(spark, nulls)
+    own = [(1000, 3, tasks[3][1], None, "{}"), (1001, 4, "", None, "{}"), (1002, None, "", None, "{}")]
+    hot = [(2000 + i, 5, tasks[5][1] if i == 7 else "the wheel of the harbor", None, "{}") for i in range(150)]
+    r, t, _ = _tables(spark, nulls + own + hot)
+    assert dict(map(tuple, defects.defects(r, t).collect())) == {1000: "question_copy", 1001: "empty_answer", 1002: "empty_answer", 2007: "question_copy"}
