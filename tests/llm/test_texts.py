@@ -98,3 +98,22 @@ def test_defects_beside_many_null_task_keys(spark):
     hot = [(2000 + i, 5, tasks[5][1] if i == 7 else "the wheel of the harbor", None, "{}") for i in range(150)]
     r, t, _ = _tables(spark, nulls + own + hot)
     assert dict(map(tuple, defects.defects(r, t).collect())) == {1000: "question_copy", 1001: "empty_answer", 1002: "empty_answer", 2007: "question_copy"}
+
+
+def test_refusals_alike_to_each_other_but_not_to_one_head(spark):
+    base = "I do not feel comfortable choosing an answer at this time"
+    said = [(1, 1, base, None, "{}"), (2, 2, "Hmm, " + base, None, "{}"), (3, 3, "Unfortunately " + base, None, "{}"), (4, 4, "the wheel of the harbor", None, "{}")]
+    r, t, _ = _tables(spark, said)
+    assert dict(map(tuple, defects.defects(r, t).collect())) == {1: "refusal", 2: "refusal", 3: "refusal"}
+    assert defects.defects(r.filter("response_id <> 3"), t).filter("defect = 'refusal'").count() == 0
+
+
+def test_neighbours_are_all_alike_openings():
+    rnd = random.Random(2)
+    texts = sorted({" ".join(rnd.choice("ab") for _ in range(rnd.randint(1, 12))) for _ in range(600)})
+    sets = [defects.shingles(x) for x in texts]
+    keys = [defects.neighbours(x) for x in texts]
+    for i in range(len(texts)):
+        for j in range(i):
+            alike = len(sets[i] & sets[j]) >= defects.SIMILARITY * len(sets[i] | sets[j])
+            assert alike == (keys[i][0] == keys[j][0] or keys[i][0] in keys[j][1] or keys[j][0] in keys[i][1])
