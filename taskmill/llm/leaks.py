@@ -1,4 +1,4 @@
-"""Evaluation texts leaking into a corpus: rare n-gram seeds, then local alignment."""
+"""Evaluation texts leaking into a corpus: n-gram seeds, then alignment."""
 
 from __future__ import annotations
 
@@ -18,12 +18,9 @@ from taskmill.llm.words import WORD
 SEED = 5
 #: A stretch of so many words of an item counts, with one edit in EDIT_IN of them at most.
 STRETCH, EDIT_IN = 20, 8
-#: A stretch keeps at least so many seeds: an edit destroys at most SEED of them, and
-#: L - SEED + 1 - SEED * (L // EDIT_IN) is least, 5, at L = 24.
-LEAST_SEEDS = 5
 #: Items of one pass over the corpus; their seeds are broadcast, a larger set is searched in blocks.
 BLOCK_ITEMS = 20_000
-#: A first sentence that so many items share is an instruction, no content.
+#: A first sentence that items of so many different continuations share is an instruction, no content.
 STOCK_ITEMS = 5
 MATCH, MISS, GAP = 1, -2, 2
 
@@ -45,30 +42,49 @@ def bare_words(text: str | None) -> list[str]:
 
 
 def item_words(items: list[tuple[int, str | None]]) -> list[tuple[int, list[str]]]:
-    """(id, words) of items with words, without a shared first sentence."""
-    heads = Counter()
+    """(id, words) of items with words, without a shared first sentence.
+
+    Questions on one passage share its first sentence too, but also what follows;
+    only a sentence that different texts follow is an instruction.
+    """
+    follow: dict[str, set[tuple[str, ...]]] = {}
     split = []
     for i, text in items:
         head, dot, rest = (text or "").partition(".")
         key = " ".join(bare_words(head))
-        split.append((i, key, text, rest if dot else ""))
-        heads[key] += 1
+        tail = bare_words(rest) if dot else []
+        split.append((i, key, text, tail))
+        if tail:
+            follow.setdefault(key, set()).add(tuple(tail[:SEED]))
     out = []
-    for i, key, text, rest in split:
-        w = bare_words(rest if heads[key] >= STOCK_ITEMS else text)
+    for i, key, text, tail in split:
+        w = tail if len(follow.get(key, ())) >= STOCK_ITEMS else bare_words(text)
         if w:
             out.append((i, w))
     return out
 
 
-def _seed_hashes(ids: np.ndarray) -> np.ndarray:
-    """Hash of the words at each position and the SEED - 1 after it; 0 if any is unknown."""
-    n = len(ids) - SEED + 1
+def seed_length(m: int) -> int:
+    """Words of a seed such that a case of an item of m words keeps at least one."""
+    edits = m // EDIT_IN if m < STRETCH else 0
+    return max(1, min(SEED, -(-(m - edits) // (edits + 1))))
+
+
+def least_seeds(m: int) -> int:
+    """Seeds that a case of an item of m words keeps: an edit destroys at most as many as a seed has words."""
+    k = seed_length(m)
+    lengths = [m] if m < STRETCH else range(STRETCH, min(m, 2 * STRETCH) + 1)
+    return max(1, min(n - k + 1 - k * (n // EDIT_IN) for n in lengths))
+
+
+def _seed_hashes(ids: np.ndarray, length: int) -> np.ndarray:
+    """Hash of the words at each position and the length - 1 after it; 0 if any is unknown."""
+    n = len(ids) - length + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     h = np.zeros(n, np.uint64)
     known = np.ones(n, bool)
-    for k in range(SEED):
+    for k in range(length):
         part = ids[k : k + n]
         known &= part != 0
         h = (h ^ part.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
@@ -76,35 +92,53 @@ def _seed_hashes(ids: np.ndarray) -> np.ndarray:
     return np.where(known, h | np.uint64(1), np.uint64(0))
 
 
+class Seeds:
+    """Seeds of one length: sorted hashes with the (item, position) of each."""
+
+    def __init__(self, length: int, words: list[np.ndarray], owners: list[int]):
+        self.length = length
+        hashes = [_seed_hashes(words[k], length) for k in owners]
+        h = np.concatenate(hashes)
+        by = np.argsort(h, kind="stable")
+        self.owner = np.repeat(owners, [len(x) for x in hashes])[by]
+        self.place = np.concatenate([np.arange(len(x)) for x in hashes])[by]
+        self.hashes, self.first, self.count = np.unique(h[by], return_index=True, return_counts=True)
+
+
 class SeedIndex:
-    """Seeds of a block of items: sorted hashes with the (item, position) of each."""
+    """Seeds of a block of items, by length; only items under ten words have shorter ones."""
 
     def __init__(self, items: list[tuple[int, list[str]]]):
         self.ids = [i for i, _ in items]
         self.vocabulary: dict[str, int] = {}
         self.words = []
-        hashes, owner, place = [], [], []
+        by_length: dict[int, list[int]] = {}
         for k, (_, ws) in enumerate(items):
-            w = np.array([self.vocabulary.setdefault(x, len(self.vocabulary) + 1) for x in ws], np.int64)
-            self.words.append(w)
-            h = _seed_hashes(w)
-            hashes.append(h)
-            owner.append(np.full(len(h), k))
-            place.append(np.arange(len(h)))
-        h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        by = np.argsort(h, kind="stable")
-        self.owner = np.concatenate(owner)[by] if hashes else np.zeros(0, np.int64)
-        self.place = np.concatenate(place)[by] if hashes else np.zeros(0, np.int64)
-        self.hashes, self.first, self.count = np.unique(h[by], return_index=True, return_counts=True)
-        #: A seed of more items is common; a case needs one rare seed at least.
-        self.rare = self.count <= max(3, len(items) // 50)
+            self.words.append(np.array([self.vocabulary.setdefault(x, len(self.vocabulary) + 1) for x in ws], np.int64))
+            by_length.setdefault(seed_length(len(ws)), []).append(k)
+        self.least = [least_seeds(len(ws)) for _, ws in items]
+        self.seeds = [Seeds(n, self.words, owners) for n, owners in sorted(by_length.items())]
+
+
+def whole_item(item: np.ndarray, text: np.ndarray) -> bool:
+    """Whether some part of the text is all of the item with at most one edit in EDIT_IN words."""
+    n = len(text)
+    d = np.zeros(n + 1, np.int64)
+    ramp = np.arange(n + 1)
+    for i, w in enumerate(item, 1):
+        x = np.full(n + 1, i, np.int64)
+        x[1:] = np.minimum(d[:-1] + (text != w), d[1:] + 1)
+        d = np.minimum.accumulate(x - ramp) + ramp
+    return int(d.min()) <= len(item) // EDIT_IN
 
 
 def aligned_stretch(item: np.ndarray, text: np.ndarray) -> bool:
-    """Whether the best local alignment holds STRETCH words of the item (all of a
-    shorter one) in order with at most one edit in EDIT_IN words."""
+    """Whether the best local alignment holds STRETCH words of the item in order
+    with at most one edit in EDIT_IN words; a shorter item must stand there whole."""
     m, n = len(item), len(text)
-    need = min(STRETCH, m)
+    if m < STRETCH:
+        return whole_item(item, text)
+    need = STRETCH
     h = np.zeros((m + 1, n + 1), np.int32)
     ramp = GAP * np.arange(n + 1)
     for i in range(1, m + 1):
@@ -147,26 +181,31 @@ def _search(index: SeedIndex, texts: list[str | None]) -> Iterator[tuple[int, in
         flat.append(0)
         starts.append(len(flat))
     ids = np.array(flat, np.int64)
-    h = _seed_hashes(ids)
-    if not len(h) or not len(index.hashes):
+    for seeds in index.seeds:
+        yield from _search_seeds(index, seeds, ids, starts)
+
+
+def _search_seeds(index: SeedIndex, seeds: Seeds, ids: np.ndarray, starts: list[int]) -> Iterator[tuple[int, int]]:
+    h = _seed_hashes(ids, seeds.length)
+    if not len(h) or not len(seeds.hashes):
         return
-    at = np.minimum(np.searchsorted(index.hashes, h), len(index.hashes) - 1)
-    hit = np.flatnonzero((index.hashes[at] == h) & (h != 0))
+    at = np.minimum(np.searchsorted(seeds.hashes, h), len(seeds.hashes) - 1)
+    hit = np.flatnonzero((seeds.hashes[at] == h) & (h != 0))
     if not len(hit):
         return
     seed = at[hit]
-    many = index.count[seed]
+    many = seeds.count[seed]
     pos = np.repeat(hit, many)
-    post = np.repeat(index.first[seed] - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum())
-    owner, place, rare = index.owner[post], index.place[post], np.repeat(index.rare[seed], many)
+    post = np.repeat(seeds.first[seed] - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum())
+    owner, place = seeds.owner[post], seeds.place[post]
     doc = np.searchsorted(np.array(starts), pos, "right") - 1
     by = np.lexsort((pos, owner, doc))
-    doc, owner, place, pos, rare = doc[by], owner[by], place[by], pos[by], rare[by]
+    doc, owner, place, pos = doc[by], owner[by], place[by], pos[by]
     cut = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (owner[1:] != owner[:-1]))))
     for lo, hi in zip(cut, np.append(cut[1:], len(doc))):
         word = index.words[owner[lo]]
-        least = min(LEAST_SEEDS, max(1, len(word) - SEED + 1))
-        if hi - lo < least or not rare[lo:hi].any():
+        least = index.least[owner[lo]]
+        if hi - lo < least:
             continue
         drift = len(word) // EDIT_IN + 1
         p, q = pos[lo:hi], place[lo:hi]
@@ -181,7 +220,7 @@ def _search(index: SeedIndex, texts: list[str | None]) -> Iterator[tuple[int, in
             members = order[s:e]
             if len(np.unique(q[members])) >= least:
                 a = max(begin, int(p[members].min()) - STRETCH - drift)
-                b = min(end, int(p[members].max()) + SEED + STRETCH + drift)
+                b = min(end, int(p[members].max()) + seeds.length + STRETCH + drift)
                 if aligned_stretch(word, ids[a:b]):
                     yield int(doc[lo]), index.ids[owner[lo]]
                     break

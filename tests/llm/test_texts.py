@@ -117,3 +117,36 @@ def test_neighbours_are_all_alike_openings():
         for j in range(i):
             alike = len(sets[i] & sets[j]) >= defects.SIMILARITY * len(sets[i] | sets[j])
             assert alike == (keys[i][0] == keys[j][0] or keys[i][0] in keys[j][1] or keys[j][0] in keys[i][1])
+
+
+def test_leaks_of_a_passage_that_many_items_share(spark):
+    v, noise = vocabulary(400, 3), vocabulary(200, 9)
+    first, passage = v[:9], v[10:40]
+    items = [(i, " ".join(first) + ". " + " ".join(passage + v[50 + 9 * i : 59 + 9 * i])) for i in range(12)]
+    docs = [(1, " ".join(noise[:30] + passage[:25] + noise[30:60])), (2, " ".join(first + passage[:11])), (3, " ".join(passage[:12]))]
+    df, its = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, item_text string")
+    assert {tuple(r) for r in leaks.leaks(df, its).collect()} == {(d, i) for d in (1, 2) for i in range(12)}
+
+
+def test_leaks_of_short_items(spark):
+    v, noise = vocabulary(400, 3), vocabulary(200, 9)
+    items, docs, want = [], [], set()
+    at = 0
+    for m in range(1, 20):
+        w = v[at : at + m]
+        at += m
+        items.append((m, " ".join(w)))
+        for edits in range(4):
+            x = w[:]
+            for k in range(min(edits, m)):
+                x[(k + 1) * m // (edits + 1)] = "changed"
+            docs.append((100 * m + edits, " ".join(noise[:30] + x + noise[30:60])))
+            if edits <= m // 8:
+                want.add((100 * m + edits, m))
+    for m in (8, 17):  # an edit at the end, a word added, a word missing
+        w = items[m - 1][1].split()
+        for n, x in enumerate((["changed", *w[1:]], w[:4] + ["added"] + w[4:], w[:3] + w[4:], w[1:])):
+            docs.append((10_000 + 10 * m + n, " ".join(noise[:9] + x + noise[9:20])))
+            want.add((10_000 + 10 * m + n, m))
+    df, its = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, item_text string")
+    assert {tuple(r) for r in leaks.leaks(df, its).collect()} == want
