@@ -12,8 +12,13 @@ from taskmill.functions.render import adapter_prompt
 from taskmill.functions.text import clean, domain_name, non_blank, strip, subject_name, tidy_list, trivia_answer
 from taskmill.operators.ordering import interleaved, ranked
 from taskmill.operators.subjects import infer_subject, token_index
+from taskmill.runtime import stored
+from taskmill.sources.config import pick_split
 from taskmill.sources.schema import TASK_COLUMNS
 
+CAIS_SPLITS = ("auxiliary_train", "dev", "validation")
+TRIVIA_SPLITS = ("train", "validation")
+
 
 def built(rows: DataFrame, dataset: str, split: Column, subject: Column) -> DataFrame:
     """Adds the built record: cleaned question and choices, index, canonical answer, prompt."""
@@ -93,10 +98,41 @@ def config_index(rows: DataFrame, config: str, split: str) -> DataFrame:
     return token_index(rows.filter(F.col(split).isin("dev", "validation")).withColumn("_text", text), config, "_text")
 
 
+def of_split(rows: DataFrame, split: str) -> DataFrame:
+    """Rows of the split, whatever case, outer spaces and short form ``split`` has; if
+    there are none, of the split's other names."""
+    name = F.lower(strip(F.col("split")))
+    return pick_split(rows.withColumn("split", F.when(name == "val", "validation").otherwise(name)), "split", split)
+
+
+def mmlu_cais(rows: DataFrame, name: str, dataset: str, split: str | None, order: list[str], limit: int | None = None) -> DataFrame:
+    """Tasks of one labelled split, or for null of all three splits of rows with a
+    ``split`` besides: auxiliary_train by inferred subject, dev and validation by
+    configuration. The limit and the positions are per split."""
+    if split is not None:
+        return labelled_pool(rows, name, dataset, split, order, limit)
+    parts = {s: of_split(rows, s) for s in CAIS_SPLITS}
+    labelled = {s: parts[s].filter("config IS NOT NULL") for s in ("dev", "validation")}
+    index = stored(config_index(labelled["dev"].unionByName(labelled["validation"]), "config", "split"))
+    out = unlabelled_pool(parts["auxiliary_train"].drop("split"), index, name, dataset, "auxiliary_train", order, limit).drop("score")
+    for s, part in labelled.items():
+        out = out.unionByName(labelled_pool(part.drop("split"), name, dataset, s, order, limit))
+    return out
+
+
+def trivia_qa_rc(rows: DataFrame, name: str, dataset: str, split: str | None, order: list[str], limit: int | None = None) -> DataFrame:
+    """Tasks of one split, or for null of train and validation of rows with a
+    ``split`` besides. The limit and the positions are per split."""
+    if split is not None:
+        return trivia(rows, name, dataset, split, order, limit)
+    train, validation = (trivia(of_split(rows, s), name, dataset, s, order, limit) for s in TRIVIA_SPLITS)
+    return train.unionByName(validation)
+
+
 ADAPTERS: dict[str, Callable[..., DataFrame]] = {
-    "mmlu_cais": labelled_pool,
+    "mmlu_cais": mmlu_cais,
     "mmlu_auxiliary_train": unlabelled_pool,
-    "trivia_qa_rc": trivia,
+    "trivia_qa_rc": trivia_qa_rc,
     "question_pool_mcq": question_pool,
 }
 

@@ -224,6 +224,22 @@ def adapter_trivia(spark: SparkSession, d: str) -> DataFrame:
     return named.select("question_id", "question_text", "reference_answer", "reference_aliases")
 
 
+def adapter_cais(spark: SparkSession, d: str) -> DataFrame:
+    """The whole adapter: auxiliary_train, dev and validation in all their spellings."""
+    p = table(spark, d, "question_pool").withColumn("config", _config_of("subject"))
+    rows = p.select("pool_key", F.col("source_split").alias("split"), "config", "subject", "question", "choices", "answer")
+    return _adapter_columns(adapters.build("mmlu_cais", rows, "bench", "depot/bench", None, ["pool_key"]))
+
+
+def adapter_trivia_all(spark: SparkSession, d: str) -> DataFrame:
+    """The whole adapter: train and validation, rows with a fallback id included."""
+    t = table(spark, d, "trivia_rows").withColumn("key", F.to_json(F.struct("question_id", "question", "answer", "data_split")))
+    copies = t.groupBy("key", "question_id", "question", "answer", F.col("data_split").alias("split")).agg(F.count("*").alias("n"))
+    rows = copies.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n")))).drop("n")
+    tasks = adapters.build("trivia_qa_rc", rows, "trivia", "depot/trivia", None, ["key", "copy"])
+    return tasks.select("question_id", "data_split", "question_text", "reference_answer", "reference_aliases")
+
+
 def adapter_pool(spark: SparkSession, d: str) -> DataFrame:
     return _adapter_columns(adapters.build("question_pool_mcq", table(spark, d, "question_pool"), "pool", ["pool_key"]))
 
@@ -278,7 +294,7 @@ QUERIES = {
     for f in (
         token_index, subject_infer, index_cache, text_clean, stable_id, order_key, alias_build, answer_index, answer_index_reader, sampled_answer, option_label,
         question_render, task_scan, task_scan_errors, legacy_metadata, pool_scan, task_sink, enabled_sources, config_listing, adapter_labelled, adapter_unlabelled,
-        adapter_trivia, adapter_pool, round_robin, round_robin_limit, union_limit, union_lazy, union_all, source_count, anti_append, slice_rows,
+        adapter_trivia, adapter_cais, adapter_trivia_all, adapter_pool, round_robin, round_robin_limit, union_limit, union_lazy, union_all, source_count, anti_append, slice_rows,
     )
 }
 

@@ -153,3 +153,33 @@ def test_entry_registers_queries_with_sql():
     assert set(s) <= set(q) and len(q) > 30
     assert callable(e.entry)
     assert F is not None
+
+
+def test_adapters_of_all_splits(spark):
+    rows = spark.createDataFrame(
+        [(1, "validation", "c1", "q1", "a"), (2, " VAL ", "c1", "q2", "a"), (3, "dev", "c0", "tide moon", "a"), (4, "Auxiliary_Train ", None, "tide", "a"), (5, "auxiliary_train", None, "zzz", "a"), (6, "train", "c1", "q6", "a"), (7, None, "c1", "q7", "a")],
+        "k int, split string, config string, question string, answer string",
+    ).withColumns({"subject": F.col("config"), "choices": F.array(F.lit("a"), F.lit("b"))})
+    got = {r["question_id"]: (r["question_text"], r["data_split"], r["domain"]) for r in adapters.build("mmlu_cais", rows, "n", "d", None, ["k"]).collect()}
+    assert got == {
+        "n::auxiliary_train::0": ("tide", "auxiliary_train", "c0"), "n::auxiliary_train::1": ("zzz", "auxiliary_train", "general knowledge"),
+        "n::dev::0": ("tide moon", "dev", "c0"), "n::validation::0": ("q1", "validation", "c1"), "n::validation::1": ("q2", "validation", "c1"),
+    }
+    assert adapters.build("mmlu_cais", rows, "n", "d", None, ["k"], 1).count() == 3
+    t = spark.createDataFrame(
+        [(1, "train", None, ("v", [], [])), (2, "Train", "x", ("v", [], [])), (3, "val", "", ("v", [], [])), (4, "validation", "y", None), (5, "validation", "z", ("v", [], [])), (6, "test", "w", ("v", [], []))],
+        "k int, split string, question_id string, answer struct<value:string,aliases:array<string>,normalized_aliases:array<string>>",
+    ).withColumn("question", F.lit("q"))
+    got = [(r["question_id"], r["data_split"]) for r in adapters.build("trivia_qa_rc", t, "n", "d", None, ["k"]).collect()]
+    assert sorted(got) == [("n::train::0", "train"), ("n::validation::0", "validation"), ("x", "train"), ("z", "validation")]
+    assert adapters.build("trivia_qa_rc", t, "n", "d", None, ["k"], 1).count() == 2
+
+
+def test_whole_trivia_query_holds_the_query_of_named_train_rows(spark):
+    from taskmill.plans.queries import QUERIES
+
+    d = "/root/testdata/sf0.001"
+    whole = QUERIES["adapter_trivia_all"](spark, d).collect()
+    named = [tuple(r) for r in QUERIES["adapter_trivia"](spark, d).collect()]
+    assert sorted(named, key=repr) == sorted(((r[0], *r[2:]) for r in whole if r["data_split"] == "train" and not r[0].startswith("trivia::")), key=repr)
+    assert {r["data_split"] for r in whole} == {"train", "validation"}
