@@ -1,18 +1,26 @@
-"""Exact join of texts by likeness: prefix filter on rare word combinations.
+"""Exact joins of texts by likeness: prefix filter on rare tokens and their subsets.
 
 Likeness of two texts is words in common over words in either, both counted
-with repeats. Words become tokens (word, how many before), ordered from rare to
-common. Two texts with likeness t or more share ceil(t/(1+t) * (n + m)) tokens,
-so their first shared token lies in a short prefix of both; the first k shared
-tokens lie in prefixes longer by k - 1. A token whose list would be long
-("heavy") is therefore replaced by its combinations with later prefix tokens:
-small lists are scanned, long lists are split into fixed-size subsets, and the
-cost of either decides (:func:`_candidates`). Nothing is capped: every pair that
-reaches the threshold meets in at least one list.
+with repeats, so a shingle is one word with its occurrence number (a token):
+longer runs of words would lose texts whose words are reordered. Tokens are
+ordered from rare to common by their counts in the corpus. Two texts with
+likeness t or more share ceil(t/(1+t) * (n + m)) tokens, so their first shared
+token lies in a short prefix of both; the first k shared tokens lie in prefixes
+longer by k - 1. Texts of equal words are one class and meet as one text.
+
+Across two sides (:func:`like_classes` with ``cross``) the prefixes of the held-out
+side are an inverted index; training texts send only tokens that the index has
+(a bitmap of fixed size tells), probe its lists within their range of sizes, and
+never meet each other. Within one table the lists are joined size-aware: in each
+list small texts are expanded into their fixed-size token subsets and large ones
+scan the list, with the boundary between them chosen by cost
+(:func:`_candidates`). Nothing is capped: every pair that reaches the threshold
+meets in at least one list, and is verified by its words.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -27,15 +35,20 @@ from taskmill.runtime import shuffle_partitions, stored
 HEAVY_ONE_IN = 5000
 #: Texts expected in one shuffled list; longer lists are shuffled by two to MAX_DEPTH tokens.
 LIST_TEXTS = 200_000
-#: A list is split by a further token if its comparisons exceed so many a member.
-COMPARE_A_MEMBER = 24
+#: Cost of expanding a text by one more token, in comparisons of a list scan (measured).
+SUBSET_COST = 12
 #: Members that a task expands, and comparisons it makes, at once.
 BLOCK = 2_000_000
 #: A list partition, which one task holds, takes the lists of so many texts at most on average.
-TEXTS_A_PARTITION = 50_000
+TEXTS_A_PARTITION = 20_000
 #: Texts in one block of signatures.
 TEXTS_A_BLOCK = 50_000
 MAX_DEPTH = 4
+#: Bits of the bitmap of index tokens, and of the count table that orders light tokens;
+#: both are fixed, so what is broadcast never grows. A fuller bitmap only drops less.
+BITMAP_BITS, COUNT_BITS = 26, 20
+#: Members of a class that one task expands into pairs at once.
+MEMBERS_A_BUCKET = 5_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _COMMON = np.int64(1) << np.int64(60)
@@ -67,9 +80,9 @@ class _Bounds:
         """Last position of the first shared token in the larger text."""
         return n - self.least_size(n)
 
-    def index_last(self, n):
-        """The same in a text that is not the larger one."""
-        return n - self.overlap(2 * n)
+    def tiny(self, depth):
+        """Largest size at which so many shared tokens may be enough."""
+        return depth * self.den // self.num
 
 
 def _pack(a: np.ndarray) -> bytes:
@@ -126,8 +139,9 @@ def canonical(text: str) -> str:
     return f"array_join(sort_array(regexp_extract_all(lower({text}), '[\\\\p{{L}}\\\\p{{N}}]+', 0)), ' ')"
 
 
-def _token_counts(base: DataFrame) -> DataFrame:
-    """(token, texts): in how many texts each token occurs; token -1 counts the texts."""
+def _token_order(base: DataFrame, total: int) -> _Order:
+    """How tokens are ordered: heavy ones one by one by their counts, light ones by the
+    size of the count in a table of 2 ** COUNT_BITS hashed counts, then by hash."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
@@ -136,11 +150,42 @@ def _token_counts(base: DataFrame) -> DataFrame:
                 continue
             _, token = _tokens(b.column(0).to_pylist(), hashes)
             values, counts = np.unique(token, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(values, -1)), pa.array(np.append(counts, b.num_rows).astype(np.int64))], ["token", "texts"]
-            )
-
-    return base.select("canon").mapInArrow(run, "token bigint, texts bigint").groupBy("token").agg(F.sum("texts").alias("texts"))
+            slot = (_mix(values) >> np.uint64(64 - COUNT_BITS)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(values), pa.array(counts.astype(np.int64))], ["slot", "token", "texts"])
+
+    tokens = base.select("canon").mapInArrow(run, "slot int, token bigint, texts bigint")
+    tokens = tokens.groupBy("slot", "token").agg(F.sum("texts").alias("texts"))
+    # At most HEAVY_ONE_IN * (words a text) heavy tokens, and 2 ** COUNT_BITS slots.
+    is_heavy = F.col("texts") > max(1, total // HEAVY_ONE_IN)
+    slots = tokens.groupBy("slot").agg(
+        F.sum("texts").alias("texts"), F.collect_list(F.when(is_heavy, F.col("token"))).alias("heavy"), F.collect_list(F.when(is_heavy, F.col("texts"))).alias("counts")
+    ).toArrow()
+    table = np.zeros(1 << COUNT_BITS, np.uint8)
+    texts = slots.column("texts").to_numpy()
+    table[slots.column("slot").to_numpy()] = np.minimum(np.log2(np.maximum(texts, 1)).astype(np.int64) + 1, 15)
+    flat = [pa.chunked_array([c.flatten() for c in slots.column(n).chunks], pa.int64()).to_numpy().astype(np.int64) for n in ("heavy", "counts")]
+    by = np.lexsort((flat[0], flat[1]))
+    return _Order(flat[0][by], flat[1][by].astype(np.float64), table, total)
+
+
+class _Order:
+    def __init__(self, heavy: np.ndarray, counts: np.ndarray, table: np.ndarray, total: int):
+        by = np.argsort(heavy)
+        self.heavy, self.rank, self.counts, self.table, self.total = heavy[by], by.astype(np.int64), counts, table, total
+
+    def places(self, token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in the order, expected texts, whether heavy) of each token."""
+        slot = (_mix(token) >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+        place = (self.table[slot].astype(np.int64) << np.int64(56)) | token
+        texts = np.full(len(token), max(1.0, self.total / HEAVY_ONE_IN))
+        is_heavy = np.zeros(len(token), bool)
+        if len(self.heavy):
+            at = np.minimum(np.searchsorted(self.heavy, token), len(self.heavy) - 1)
+            is_heavy = self.heavy[at] == token
+            rank = self.rank[at[is_heavy]]
+            place[is_heavy] = _COMMON | rank
+            texts[is_heavy] = self.counts[rank]
+        return place, texts, is_heavy
 
 
 _BLOCK_SCHEMA = "part int, keys binary, docs binary, pos binary, digests binary, bits binary, sides binary, sizes binary, froms binary, pre binary"
@@ -153,32 +198,23 @@ def _level(depth: int) -> np.uint64:
     return np.uint64(depth - 1) << np.uint64(30)
 
 
-def _signature_blocks(base: DataFrame, heavy: np.ndarray, counts: np.ndarray, total: int, parts: int, bounds: _Bounds) -> DataFrame:
-    """Columnar blocks, one row per (block of texts, list partition)."""
-    order = np.argsort(heavy)
-    heavy_sorted, heavy_rank = heavy[order], order.astype(np.int64)
-    light_texts = max(1.0, total / HEAVY_ONE_IN)
-    list_texts, texts_a_block = LIST_TEXTS, TEXTS_A_BLOCK
+class _Prefixes:
+    """The ordered tokens of a block of texts and their postings in lists."""
 
-    def block(digests: list[bytes], sides: np.ndarray, canons: list[str], hashes: _Hashes) -> Iterator[dict]:
+    def __init__(self, canons: list[str], hashes: _Hashes, order: _Order, bounds: _Bounds, list_texts: int):
         sizes, token = _tokens(canons, hashes)
         doc = np.repeat(np.arange(len(canons)), sizes)
-        if len(heavy_sorted):
-            at = np.minimum(np.searchsorted(heavy_sorted, token), len(heavy_sorted) - 1)
-            is_heavy = heavy_sorted[at] == token
-            rank = np.where(is_heavy, heavy_rank[at], 0)
-        else:
-            is_heavy, rank = np.zeros(len(token), bool), np.zeros(len(token), np.int64)
-        texts = np.where(is_heavy, counts[rank] if len(counts) else 0, light_texts)
-        place = np.where(is_heavy, _COMMON | rank, token)
+        place, texts, is_heavy = order.places(token)
         by = np.lexsort((place, doc))
-        place, texts = place[by], texts[by]
+        place, texts, is_heavy = place[by], texts[by], is_heavy[by]
         starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
         mixed = _mix(place)
+        total = order.total
         # One bit a token; tokens that are nearly everywhere tell nothing apart.
         bit = np.where(texts * 5 <= total, np.uint64(1) << (mixed >> np.uint64(58)), np.uint64(0))
         upper = (mixed >> np.uint64(57)) & np.uint64(1) == 1
-        bits = np.stack([np.bitwise_or.reduceat(np.where(upper, np.uint64(0), bit), starts), np.bitwise_or.reduceat(np.where(upper, bit, np.uint64(0)), starts)], axis=1)
+        halves = [np.bitwise_or.reduceat(np.where(upper == u, bit, np.uint64(0)), starts) for u in (False, True)]
+        self.bits = np.stack(halves, axis=1)
         probe = bounds.probe_last(sizes)
         position = np.arange(len(place)) - starts[doc]
         inside = position <= probe[doc]
@@ -208,10 +244,48 @@ def _signature_blocks(base: DataFrame, heavy: np.ndarray, counts: np.ndarray, to
             docs.append(doc[now[done]])
             last.append(position[now[done]])
             now, key, expect = now[~done], key[~done], expect[~done]
-        key, d, pos = np.concatenate(keys), np.concatenate(docs), np.concatenate(last)
+        self.key, self.doc, self.pos = np.concatenate(keys), np.concatenate(docs), np.concatenate(last)
+        self.sizes, self.starts, self.keep = sizes, starts, np.minimum(sizes, probe + MAX_DEPTH)
+        self.code = np.where(is_heavy, place & 0xFFFF, (mixed >> np.uint64(7)).astype(np.int64) & 0xFFFF).astype(np.uint16)
+
+
+def _bit_of(key: np.ndarray) -> np.ndarray:
+    return (_mix(key) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+
+
+def _index_bitmap(held: DataFrame, order: _Order, bounds: _Bounds) -> np.ndarray:
+    """One bit for every list that the index side has a text in."""
+    list_texts = LIST_TEXTS
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
+        seen = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
+        for b in batches:
+            if b.num_rows:
+                at = _bit_of(_Prefixes(b.column(0).to_pylist(), hashes, order, bounds, list_texts).key)
+                np.bitwise_or.at(seen, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+        slot = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(seen[slot].view(np.int64))], ["slot", "bits"])
+
+    slots = held.select("canon").mapInArrow(run, "slot int, bits bigint").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
+    out[slots.column("slot").to_numpy()] = slots.column("bits").to_numpy().astype(np.int64).view(np.uint64)
+    return out
+
+
+def _signature_blocks(base: DataFrame, order: _Order, parts: int, bounds: _Bounds, bitmap: np.ndarray | None = None) -> DataFrame:
+    """Columnar blocks, one row per (block of texts, list partition). With ``bitmap`` only
+    postings of lists that it has are sent."""
+    list_texts, texts_a_block = LIST_TEXTS, TEXTS_A_BLOCK
+
+    def block(digests: list[bytes], sides: np.ndarray, canons: list[str], hashes: _Hashes) -> Iterator[dict]:
+        x = _Prefixes(canons, hashes, order, bounds, list_texts)
+        key, d, pos = x.key, x.doc, x.pos
+        if bitmap is not None:
+            at = _bit_of(key)
+            there = (bitmap[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+            key, d, pos = key[there], d[there], pos[there]
         part = (_mix(key) >> np.uint64(20)) % np.uint64(parts)
-        code = np.where(is_heavy[by], place & 0xFFFF, (mixed >> np.uint64(7)).astype(np.int64) & 0xFFFF).astype(np.uint16)
-        keep = np.minimum(sizes, probe + MAX_DEPTH)
         dig = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
         by = np.lexsort((key, part))
         key, d, pos, part = key[by], d[by], pos[by], part[by]
@@ -224,12 +298,12 @@ def _signature_blocks(base: DataFrame, heavy: np.ndarray, counts: np.ndarray, to
             # Only what follows a text's first position in this partition can extend it here.
             froms = np.full(len(own), 1 << 62, np.int64)
             np.minimum.at(froms, local, pos[lo:hi] + 1)
-            lens = np.maximum(keep[own] - froms, 0)
-            take = np.repeat(starts[own] + froms - np.concatenate(([0], np.cumsum(lens)[:-1])), lens) + np.arange(lens.sum())
+            lens = np.maximum(x.keep[own] - froms, 0)
+            take = np.repeat(x.starts[own] + froms - np.concatenate(([0], np.cumsum(lens)[:-1])), lens) + np.arange(lens.sum())
             yield {
                 "part": p, "keys": _pack(key[lo:hi]), "docs": _pack(local), "pos": _pack(pos[lo:hi]),
-                "digests": dig[own].tobytes(), "bits": bits[own].tobytes(), "sides": _pack(sides[own]), "sizes": _pack(sizes[own]),
-                "froms": _pack(froms), "pre": _pack(code[take]),
+                "digests": dig[own].tobytes(), "bits": x.bits[own].tobytes(), "sides": _pack(sides[own]), "sizes": _pack(x.sizes[own]),
+                "froms": _pack(froms), "pre": _pack(x.code[take]),
             }
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,7 +342,7 @@ class _Texts:
         digests, bits = pairs("digests"), pairs("bits")
         sides, sizes = np.concatenate(col("sides")), np.concatenate(col("sizes")).astype(np.int64)
         self.froms = np.concatenate(col("froms")).astype(np.int64)
-        self.probe, self.index = bounds.probe_last(sizes), bounds.index_last(sizes)
+        self.probe = bounds.probe_last(sizes)
         self.ends = np.minimum(sizes, self.probe + MAX_DEPTH)
         lens = np.maximum(self.ends - self.froms, 0)
         self.pre = np.concatenate(col("pre"))
@@ -286,83 +360,108 @@ class _Texts:
         copy[by] = again
         keep = ~copy[self.doc]
         self.key, self.doc, self.pos = self.key[keep], self.doc[keep], self.pos[keep]
-        self.digests, self.sides, self.sizes, self.low, self.high = digests, sides, sizes, bits[:, 0].copy(), bits[:, 1].copy()
+        self.digests, self.sizes, self.low, self.high = digests, sizes, bits[:, 0].copy(), bits[:, 1].copy()
         self.most, self.least = bounds.most_size(sizes), bounds.least_size(sizes)
+        self.held = sides != 0
         self.bounds, self.cross = bounds, cross
+        self.counts = {"scanned": 0, "expanded": 0}
 
 
-def _candidates(t: _Texts, key: np.ndarray, doc: np.ndarray, pos: np.ndarray, depth: int, out: list[np.ndarray], limit: int) -> None:
+def _candidates(t: _Texts, key: np.ndarray, doc: np.ndarray, pos: np.ndarray, depth: int, out: list[np.ndarray]) -> None:
     """Adds candidate pairs (a << 32 | b, local numbers) of the lists in ``key``.
 
-    Short lists are scanned: each member that may be the smaller text of a pair
-    meets the larger ones whose size is in range, tested by positions and bits.
-    A list with more than ``limit`` comparisons a member is split by the next
-    shared token instead, unless a text in it is too short to share another.
+    Within one table the members of each list are classed by size. A large one scans
+    the list: it meets all smaller members whose size is in range, tested by
+    positions and bits. A small one is expanded into its subsets, i.e. put into
+    the lists of one more shared token. The boundary is the size at which the
+    estimated comparisons of the scans and the cost of the subsets are least
+    together. Two members so small that ``depth`` tokens may be all they share
+    are met by scanning in either case (a pair with a larger member shares more).
+    Across two sides only training members scan, and only the held-out members in
+    range; all members are expanded if that costs less.
     """
     by = np.lexsort((t.sizes[doc], key))
     key, doc, pos = key[by], doc[by], pos[by]
     first = np.ones(len(key), bool)
     first[1:] = key[1:] != key[:-1]
     run = np.cumsum(first) - 1
-    lengths = np.bincount(run)
-    alone = lengths[run] == 1
-    if alone.any():
-        key, doc, pos, run = key[~alone], doc[~alone], pos[~alone], run[~alone]
-        if not len(key):
-            return
-        run = np.unique(run, return_inverse=True)[1]
-        lengths = np.bincount(run)
+    members = np.bincount(run)
+    if t.cross:
+        held = np.bincount(run, t.held[doc])
+        paired = ((held > 0) & (held < members))[run]
+    else:
+        paired = (members > 1)[run]
+    key, doc, pos, first = key[paired], doc[paired], pos[paired], first[paired]
+    if not len(key):
+        return
+    run = np.cumsum(first) - 1
+    lists, first = int(run[-1]) + 1, np.flatnonzero(first)
+    if t.cross:
+        at = np.flatnonzero(t.held[doc])
+        asks = np.flatnonzero(~t.held[doc])
+    else:
+        at = asks = np.arange(len(doc))
     sizes = t.sizes[doc]
-    place = (run << 32) | sizes
-    upto = np.searchsorted(place, (run << 32) | np.minimum(t.most[doc], (1 << 32) - 1), "right")
-    more = np.where(pos <= t.index[doc] + depth - 1, upto - np.arange(len(key)) - 1, 0)
-    cost = np.bincount(run, more)
-    split = (cost > limit * lengths) & (np.minimum.reduceat(t.least[doc], np.concatenate(([0], np.cumsum(lengths)[:-1]))) > depth)
-    split &= depth < MAX_DEPTH
-    chosen = split[run]
-    scan = np.flatnonzero(~chosen & (more > 0))
-    at = 0
-    ends = np.cumsum(more[scan])
-    while at < len(scan):
-        done = ends[at - 1] if at else 0
-        end = max(at + 1, int(np.searchsorted(ends, done + BLOCK, "right")))
-        a = np.repeat(scan[at:end], more[scan[at:end]])
-        begin = np.concatenate(([0], np.cumsum(more[scan[at:end]])[:-1]))
-        b = a + 1 + np.arange(len(a)) - np.repeat(begin, more[scan[at:end]])
+    place = ((run << 32) | sizes)[at]
+    low = np.searchsorted(place, (run[asks] << 32) | t.least[doc[asks]])
+    high = np.searchsorted(place, (run[asks] << 32) | np.minimum(t.most[doc[asks]], (1 << 32) - 1), "right") if t.cross else np.arange(len(asks))
+    scans = np.maximum(high - low, 0)
+    room = np.minimum(t.ends[doc] - 1, t.probe[doc] + depth) - pos
+    small = np.zeros(len(doc), bool)
+    if depth < MAX_DEPTH:
+        cost = SUBSET_COST * np.maximum(room, 0)
+        if t.cross:
+            small = (np.bincount(run[asks], scans, lists) > np.bincount(run, cost, lists))[run]
+        else:
+            # Members below the boundary pay for subsets, those from it on for scans.
+            gain = np.cumsum(scans - cost)
+            gain -= np.repeat(np.concatenate(([0], gain[first[1:] - 1])), np.diff(np.append(first, len(run))))
+            best = np.maximum.reduceat(gain, first)
+            # Sizes up to that of the last member with the greatest gain are small.
+            top = np.where((gain == best[run]) & (best[run] > 0), sizes, -1)
+            small = sizes <= np.maximum.reduceat(top, first)[run]
+    tiny = t.bounds.tiny(depth)
+    tiny_end = np.searchsorted(place, (run[asks] << 32) | tiny, "right")
+    more = np.where(small[asks], np.where(sizes[asks] <= tiny, np.minimum(tiny_end - low, scans), 0), scans)
+    more = np.maximum(more, 0)
+    t.counts["scanned"] += int(more.sum())
+    scan = np.flatnonzero(more > 0)
+    ends, begin_at = np.cumsum(more[scan]), 0
+    while begin_at < len(scan):
+        done = ends[begin_at - 1] if begin_at else 0
+        end = max(begin_at + 1, int(np.searchsorted(ends, done + BLOCK, "right")))
+        who, n = scan[begin_at:end], more[scan[begin_at:end]]
+        a = np.repeat(asks[who], n)
+        b = at[np.repeat(low[who] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())]
         da, db = doc[a], doc[b]
         both = t.sizes[da] + t.sizes[db]
         need = t.bounds.overlap(both)
         apart = np.bitwise_count(t.low[da] ^ t.low[db]).astype(np.int64) + np.bitwise_count(t.high[da] ^ t.high[db])
-        ok = apart <= both - 2 * need
-        ok &= depth + np.minimum(t.sizes[da] - pos[a], t.sizes[db] - pos[b]) - 1 >= need
-        if t.cross:
-            ok &= t.sides[da] != t.sides[db]
-        else:
-            ok &= da != db
+        ok = (apart <= both - 2 * need) & (depth + np.minimum(t.sizes[da] - pos[a], t.sizes[db] - pos[b]) - 1 >= need) & (da != db)
         da, db = da[ok], db[ok]
         out.append(np.unique((np.minimum(da, db) << 32) | np.maximum(da, db)))
-        at = end
-    inner = np.flatnonzero(chosen)
-    room = np.minimum(t.ends[doc[inner]] - 1, t.probe[doc[inner]] + depth) - pos[inner]
-    inner, room = inner[room > 0], room[room > 0]
-    ends, at = np.cumsum(room), 0
-    while at < len(inner):
-        done = ends[at - 1] if at else 0
+        begin_at = end
+    inner = np.flatnonzero(small & (room > 0))
+    room = room[inner]
+    t.counts["expanded"] += int(room.sum())
+    ends, begin_at = np.cumsum(room), 0
+    while begin_at < len(inner):
+        done = ends[begin_at - 1] if begin_at else 0
         end = int(np.searchsorted(ends, done + BLOCK, "right"))
         if end < len(inner):  # whole lists only
-            end = int(np.searchsorted(run[inner], run[inner[max(end, at)]]))
-            if end <= at:
-                end = int(np.searchsorted(run[inner], run[inner[at]], "right"))
-        m, r = inner[at:end], room[at:end]
+            end = int(np.searchsorted(run[inner], run[inner[max(end, begin_at)]]))
+            if end <= begin_at:
+                end = int(np.searchsorted(run[inner], run[inner[begin_at]], "right"))
+        m, r = inner[begin_at:end], room[begin_at:end]
         rep = np.repeat(m, r)
         nxt = pos[rep] + 1 + np.arange(len(rep)) - np.repeat(np.concatenate(([0], np.cumsum(r)[:-1])), r)
         code = t.pre[t.pre_start[doc[rep]] + nxt]
         sub = _mix(key[rep] ^ (code.astype(np.uint64) << np.uint64(17)))
-        _candidates(t, sub, doc[rep], nxt, depth + 1, out, limit)
-        at = end
+        _candidates(t, sub, doc[rep], nxt, depth + 1, out)
+        begin_at = end
 
 
-def _list_pairs(bounds: _Bounds, cross: bool, limit: int):
+def _list_pairs(bounds: _Bounds, cross: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_part: dict[int, list[dict]] = {}
         for b in batches:
@@ -375,7 +474,7 @@ def _list_pairs(bounds: _Bounds, cross: bool, limit: int):
             for depth in range(1, MAX_DEPTH + 1):
                 sel = level == depth - 1
                 if sel.any():
-                    _candidates(t, t.key[sel], t.doc[sel], t.pos[sel], depth, out, limit)
+                    _candidates(t, t.key[sel], t.doc[sel], t.pos[sel], depth, out)
             if not out:
                 continue
             pairs = np.unique(np.concatenate(out))
@@ -388,21 +487,15 @@ def _list_pairs(bounds: _Bounds, cross: bool, limit: int):
 
 
 def _verify(bounds: _Bounds):
+    """Keeps the pairs whose words, counted with repeats, overlap enough."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
+            known: dict[str, Counter] = {}
             for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                left: dict[str, int] = {}
-                xs, ys = x.split(" "), y.split(" ")
-                for w in xs:
-                    left[w] = left.get(w, 0) + 1
-                common = 0
-                for w in ys:
-                    c = left.get(w, 0)
-                    if c:
-                        left[w] = c - 1
-                        common += 1
-                keep.append(common >= bounds.overlap(len(xs) + len(ys)))
+                xs, ys = (known.get(c) or known.setdefault(c, Counter(c.split(" "))) for c in (x, y))
+                keep.append((xs & ys).total() >= bounds.overlap(xs.total() + ys.total()))
             yield pa.RecordBatch.from_arrays(b.columns[:2], ["da", "db"]).filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -412,21 +505,27 @@ def like_classes(docs: DataFrame, num: int = 7, den: int = 10, cross: bool = Fal
     """(members(digest, side, rec_id), pairs(da, db)): texts with equal words are one
     class; pairs are the verified links between different classes.
 
-    docs: (rec_id bigint, side int, text string). With ``cross`` only texts of
-    different sides are linked. Null texts and texts without words are left
-    out; an empty table gives empty results; repeated rows of one id are one.
+    docs: (rec_id bigint, side int, text string). With ``cross`` side 0 is training,
+    which probes, any other side is held out, which is indexed, and only texts of
+    different sides are linked. Null texts and texts without words are left out;
+    an empty table gives empty results; repeated rows of one id are one.
     """
     bounds = _Bounds(num, den)
-    base = docs.select("rec_id", F.col("side").cast("int").alias("side"), F.expr(canonical("text")).alias("canon"))
+    side = F.when(F.col("side") == 0, 0).otherwise(1) if cross else F.lit(0)
+    base = docs.select("rec_id", side.alias("side"), F.expr(canonical("text")).alias("canon"))
     base = stored(base.filter("rec_id IS NOT NULL AND canon <> ''").withColumn("digest", F.unhex(F.md5("canon"))))
-    stats = _token_counts(base)
     total = base.count()
-    heavy = stats.filter((F.col("texts") > max(1, total // HEAVY_ONE_IN)) & (F.col("token") >= 0)).toPandas()
-    heavy = heavy.sort_values(["texts", "token"])
+    order = _token_order(base, total)
     parts = max(shuffle_partitions(docs.sparkSession), total // TEXTS_A_PARTITION + 1)
-    blocks = _signature_blocks(base, heavy["token"].to_numpy(np.int64), heavy["texts"].to_numpy(np.float64), total, parts, bounds)
-    found = blocks.repartition(parts, "part").mapInArrow(_list_pairs(bounds, cross, COMPARE_A_MEMBER), "da binary, db binary").distinct()
-    one = base.groupBy("digest").agg(F.min("canon").alias("canon"))
+    if cross:
+        held, training = base.filter("side = 1"), base.filter("side = 0")
+        bitmap = _index_bitmap(held, order, bounds)
+        blocks = _signature_blocks(held, order, parts, bounds).unionByName(_signature_blocks(training, order, parts, bounds, bitmap))
+    else:
+        blocks = _signature_blocks(base, order, parts, bounds)
+    found = blocks.repartitionById(parts, "part").mapInArrow(_list_pairs(bounds, cross), "da binary, db binary")
+    found = found.filter("da <> db").select(F.least("da", "db").alias("da"), F.greatest("da", "db").alias("db")).distinct()
+    one = base.groupBy("digest").agg(F.first("canon").alias("canon"))
     first = one.select(F.col("digest").alias("da"), F.col("canon").alias("ca"))
     second = one.select(F.col("digest").alias("db"), F.col("canon").alias("cb"))
     checked = found.join(first, "da").join(second, "db").select("da", "db", "ca", "cb").mapInArrow(_verify(bounds), "da binary, db binary")
@@ -435,16 +534,45 @@ def like_classes(docs: DataFrame, num: int = 7, den: int = 10, cross: bool = Fal
 
 def like_pairs(docs: DataFrame, num: int = 7, den: int = 10, cross: bool = False) -> DataFrame:
     """(key_a, key_b), key_a < key_b: all pairs of records of likeness num/den or more,
-    copies included, each once."""
+    copies included, each once.
+
+    Members of a class are dealt to buckets of MEMBERS_A_BUCKET, and every pair of
+    buckets is joined on its own, so a class of any size is spread over tasks.
+    """
     members, pairs = like_classes(docs, num, den, cross)
-    left = pairs.join(members.select(F.col("digest").alias("da"), F.col("side").alias("sa"), F.col("rec_id").alias("x")), "da")
-    linked = left.join(members.select(F.col("digest").alias("db"), F.col("side").alias("sb"), F.col("rec_id").alias("y")), "db")
-    a, b = (members.filter("side = 0"), members.filter("side <> 0")) if cross else (members, members)
-    same = a.alias("a").join(b.alias("b"), "digest").select(
-        F.col("a.side").alias("sa"), F.col("b.side").alias("sb"), F.col("a.rec_id").alias("x"), F.col("b.rec_id").alias("y")
-    )
-    both = linked.select("sa", "sb", "x", "y").unionByName(same if cross else same.filter("x < y"))
-    if cross:
-        both = both.filter("sa <> sb")
-    both = both.filter("x <> y").select(F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b"))
-    return both.distinct()
+    sizes = members.groupBy("digest").agg(F.count("*").alias("n"))
+    buckets = F.coalesce(F.expr(f"1 + n div {MEMBERS_A_BUCKET}"), F.lit(1))
+    # Classes of one member have nothing to pair within and one bucket.
+    large = sizes.filter("n > 1")
+    same = large.select(F.col("digest").alias("da"), F.col("digest").alias("db"))
+    split = large.select("digest", buckets.alias("k")).filter("k > 1")
+    dealt = members.join(split, "digest", "left").withColumn("k", F.coalesce("k", F.lit(1).cast("bigint")))
+    dealt = dealt.select("digest", "side", "rec_id", F.pmod(F.xxhash64("rec_id"), "k").alias("bucket"))
+    ends = pairs.unionByName(same)
+    for d in ("da", "db"):
+        ends = ends.join(split.select(F.col("digest").alias(d), F.col("k").alias(f"k{d}")), d, "left")
+        ends = ends.withColumn(f"b{d}", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(f"k{d}", F.lit(1).cast("bigint")) - 1)))
+    ends = ends.select("da", "bda", "db", "bdb")
+    x = dealt.select(F.col("digest").alias("da"), F.col("bucket").alias("bda"), F.col("side").alias("sa"), F.col("rec_id").alias("x"))
+    y = dealt.select(F.col("digest").alias("db"), F.col("bucket").alias("bdb"), F.col("side").alias("sb"), F.col("rec_id").alias("y"))
+    both = ends.join(x, ["da", "bda"]).join(y, ["db", "bdb"])
+    both = both.filter("sa <> sb AND x <> y" if cross else "da <> db AND x <> y OR x < y")
+    return both.select(F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b")).distinct()
+
+
+def like_members(docs: DataFrame, num: int = 7, den: int = 10, cross: bool = False) -> DataFrame:
+    """(rec_id, class_id, links): every record with words, the smallest id of the records
+    with equal words, and the number of other records it is like (with ``cross`` those of
+    the other side). No pair of records is made: links are sums of class sizes."""
+    members, pairs = like_classes(docs, num, den, cross)
+    members = members.distinct()
+    sizes = members.groupBy("digest", "side").agg(F.count("*").alias("n"))
+    both = pairs.unionByName(pairs.select(F.col("db").alias("da"), F.col("da").alias("db")))
+    own = sizes.select(F.col("digest").alias("da"), F.col("digest").alias("db"), "side", "n")
+    near = both.join(sizes.withColumnRenamed("digest", "db"), "db").unionByName(own, allowMissingColumns=True)
+    near = near.groupBy(F.col("da").alias("digest"), F.col("side").alias("their")).agg(F.sum("n").alias("n"))
+    classes = members.groupBy("digest").agg(F.min("rec_id").alias("class_id"))
+    ends = near.groupBy("digest").agg(F.sum(F.when(F.col("their") == 0, F.col("n")).otherwise(0)).alias("n0"), F.sum(F.when(F.col("their") == 1, F.col("n")).otherwise(0)).alias("n1"))
+    out = members.join(classes, "digest").join(ends, "digest", "left")
+    links = F.when(F.col("side") == 0, F.col("n1")).otherwise(F.col("n0")) if cross else F.col("n0") - 1
+    return out.select("rec_id", "class_id", F.coalesce(links, F.lit(0).cast("bigint")).alias("links"))

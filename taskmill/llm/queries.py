@@ -29,6 +29,11 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return likeness.like_pairs(_question_records(spark, d).select("rec_id", "side", "text"), cross=True)
 
 
+def p1_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Each record with its class of equal words and its number of links to the other side."""
+    return likeness.like_members(_question_records(spark, d).select("rec_id", "side", "text"), cross=True)
+
+
 def p1_report(spark: SparkSession, d: str) -> DataFrame:
     """Overlapping pairs and held-out records per held-out split and source."""
     recs = _question_records(spark, d)
@@ -49,6 +54,11 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return likeness.like_pairs(_task_texts(spark, d))
 
 
+def p4_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Each record with its class of equal words and its number of alike records."""
+    return likeness.like_members(_task_texts(spark, d))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return defects.defects(table(spark, d, "parsed_responses"), table(spark, d, "task_items"))
 
@@ -139,7 +149,7 @@ def p9_classes(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_report, p2_found, p2_report, p3_found, p3_collapsed, p4_found, p5_found, p5_splits, p6_found, p6_report, p6_sample, p7_ids, p8_found, p8_items, p9_found, p9_form, p9_classes)
+    for f in (p1_found, p1_classes, p1_report, p2_found, p2_report, p3_found, p3_collapsed, p4_found, p4_classes, p5_found, p5_splits, p6_found, p6_report, p6_sample, p7_ids, p8_found, p8_items, p9_found, p9_form, p9_classes)
 }
 
 _KIND = (
