@@ -63,7 +63,9 @@ def test_defects(spark):
     say(3, "the wheel of the harbor", None)
     for k in range(5):
         want[say(k, f"Sadly my rules forbid judging {v[k]} today, friend.")] = "refusal"
-    want[say(9, "I'm sorry, but I cannot help with that request.")] = "refusal"
+    for k in range(3):
+        want[say(9 + k, f"{('Well,', 'Hmm,', 'Regarding ' + v[30 + k] + ':')[k]} I'm sorry, but I cannot help with that request.")] = "refusal"
+    say(20, "I would rather climb quietly, says a lone voice.")
     for fa in ("", None, " \n", "N/A", "null", "[]", "…"):
         want[say(4, fa)] = "empty_answer"
     want[say(5, tasks[5][1])] = "question_copy"
@@ -100,23 +102,37 @@ def test_defects_beside_many_null_task_keys(spark):
     assert dict(map(tuple, defects.defects(r, t).collect())) == {1000: "question_copy", 1001: "empty_answer", 1002: "empty_answer", 2007: "question_copy"}
 
 
-def test_refusals_alike_to_each_other_but_not_to_one_head(spark):
+def test_templates_behind_other_first_words(spark):
     base = "I do not feel comfortable choosing an answer at this time"
-    said = [(1, 1, base, None, "{}"), (2, 2, "Hmm, " + base, None, "{}"), (3, 3, "Unfortunately " + base, None, "{}"), (4, 4, "the wheel of the harbor", None, "{}")]
+    said = [(1, 1, base, None, "{}"), (2, 2, "Hmm, " + base, None, "{}"), (3, 3, "Unfortunately, dear friend, " + base, None, "{}"), (4, 4, "the wheel of the harbor", None, "{}")]
     r, t, _ = _tables(spark, said)
     assert dict(map(tuple, defects.defects(r, t).collect())) == {1: "refusal", 2: "refusal", 3: "refusal"}
     assert defects.defects(r.filter("response_id <> 3"), t).filter("defect = 'refusal'").count() == 0
 
 
-def test_neighbours_are_all_alike_openings():
-    rnd = random.Random(2)
-    texts = sorted({" ".join(rnd.choice("ab") for _ in range(rnd.randint(1, 12))) for _ in range(600)})
-    sets = [defects.shingles(x) for x in texts]
-    keys = [defects.neighbours(x) for x in texts]
-    for i in range(len(texts)):
-        for j in range(i):
-            alike = len(sets[i] & sets[j]) >= defects.SIMILARITY * len(sets[i] | sets[j])
-            assert alike == (keys[i][0] == keys[j][0] or keys[i][0] in keys[j][1] or keys[j][0] in keys[i][1])
+def test_a_wrapped_empty_object_is_no_refusal(spark):
+    said = [(i, i, None, None, 'Sure, here is what you asked. {"answer": null}') for i in range(6)] + [(10 + i, i, "", None, "I will not be choosing here, please ask someone else.") for i in range(6)]
+    r, t, _ = _tables(spark, said)
+    assert dict(map(tuple, defects.defects(r, t).collect())) == dict.fromkeys(range(6), "empty_answer") | dict.fromkeys(range(10, 16), "refusal")
+
+
+def test_ten_times_the_table_gives_the_same_labels(spark):
+    base = "I do not feel comfortable choosing an answer at this time"
+    said = [(i, i, base if i % 4 == 0 else "the wheel of the harbor" if i % 4 < 3 else f"the {LETTERS} quarry", None, "{}") for i in range(40)]
+    one, t, tasks = _tables(spark, said)
+    want = dict(map(tuple, defects.defects(one, t).collect()))
+    more = [(1000 * k + r[0], 1000 * k + r[1], *r[2:]) for k in range(10) for r in said]
+    grown = [(1000 * k + x[0], x[1] + f" Round {k}?", *x[2:]) for k in range(10) for x in tasks]
+    r, t2 = spark.createDataFrame(more, one.schema), spark.createDataFrame(grown, t.schema)
+    assert dict(map(tuple, defects.defects(r, t2).collect())) == {1000 * k + i: d for k in range(10) for i, d in want.items()}
+
+
+def test_longer_openings_cluster_with_one_shingle_less(spark, monkeypatch):
+    monkeypatch.setattr(defects, "OPENING", 12)
+    ws = [f"w{i}" for i in range(12)]
+    texts = [" ".join(ws), " ".join(ws[:11]), " ".join(ws[1:]), " ".join([*ws[:6], "x", *ws[7:]]), "other words"]
+    got = dict(map(tuple, defects.clusters(spark.createDataFrame([(x,) for x in texts], "opening string")).collect()))
+    assert len(got) == 5 and got[texts[0]] == got[texts[1]] == got[texts[2]] and len(set(got.values())) == 3
 
 
 def test_leaks_of_a_passage_that_many_items_share(spark):
