@@ -38,9 +38,9 @@ LIST_TEXTS = 200_000
 #: Cost of expanding a text by one more token, in comparisons of a list scan (measured).
 SUBSET_COST = 12
 #: Members that a task expands, and comparisons it makes, at once.
-BLOCK = 2_000_000
+BLOCK = 500_000
 #: A list partition, which one task holds, takes the lists of so many texts at most on average.
-TEXTS_A_PARTITION = 20_000
+TEXTS_A_PARTITION = 10_000
 #: Texts in one block of signatures.
 TEXTS_A_BLOCK = 50_000
 MAX_DEPTH = 4
