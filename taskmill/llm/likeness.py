@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from taskmill.llm import bitmap
+from taskmill.llm.bitmap import mix as _mix
 from taskmill.runtime import shuffle_partitions, stored
 
 #: A token is heavy if it is in more than one of so many texts. There are at most
@@ -36,31 +38,23 @@ HEAVY_ONE_IN = 5000
 #: Texts expected in one shuffled list; longer lists are shuffled by two to MAX_DEPTH tokens.
 LIST_TEXTS = 200_000
 #: Cost of expanding a text by one more token, in comparisons of a list scan (measured).
-SUBSET_COST = 12
+SUBSET_COST = 24
 #: Members that a task expands, and comparisons it makes, at once.
 BLOCK = 500_000
 #: A list partition, which one task holds, takes the lists of so many texts at most on average.
-TEXTS_A_PARTITION = 10_000
+TEXTS_A_PARTITION = 20_000
 #: Texts in one block of signatures.
 TEXTS_A_BLOCK = 50_000
 MAX_DEPTH = 4
-#: Bits of the bitmap of index tokens, and of the count table that orders light tokens;
-#: both are fixed, so what is broadcast never grows. A fuller bitmap only drops less.
-BITMAP_BITS, COUNT_BITS = 26, 20
+#: Bits of the count table that orders light tokens; it is fixed, so what is broadcast
+#: never grows.
+COUNT_BITS = 20
 #: Members of a class that one task expands into pairs at once.
 MEMBERS_A_BUCKET = 5_000
 
-_MIX = np.uint64(0x9E3779B97F4A7C15)
 _COMMON = np.int64(1) << np.int64(60)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = x.astype(np.uint64) * _MIX
-    x ^= x >> np.uint64(29)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(32))
-
-
 class _Bounds:
     """Sizes of prefixes and overlaps for likeness num/den, in integers."""
 
@@ -80,6 +74,10 @@ class _Bounds:
         """Last position of the first shared token in the larger text."""
         return n - self.least_size(n)
 
+    def index_last(self, n):
+        """The same in a text that is not the larger one."""
+        return n - self.overlap(2 * n)
+
     def tiny(self, depth):
         """Largest size at which so many shared tokens may be enough."""
         return depth * self.den // self.num
@@ -249,41 +247,30 @@ class _Prefixes:
         self.code = np.where(is_heavy, place & 0xFFFF, (mixed >> np.uint64(7)).astype(np.int64) & 0xFFFF).astype(np.uint16)
 
 
-def _bit_of(key: np.ndarray) -> np.ndarray:
-    return (_mix(key) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
-
-
 def _index_bitmap(held: DataFrame, order: _Order, bounds: _Bounds) -> np.ndarray:
     """One bit for every list that the index side has a text in."""
     list_texts = LIST_TEXTS
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
-        seen = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
+        hashes, seen = _Hashes(), bitmap.Seen()
         for b in batches:
             if b.num_rows:
-                at = _bit_of(_Prefixes(b.column(0).to_pylist(), hashes, order, bounds, list_texts).key)
-                np.bitwise_or.at(seen, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
-        slot = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(seen[slot].view(np.int64))], ["slot", "bits"])
+                seen.add(_Prefixes(b.column(0).to_pylist(), hashes, order, bounds, list_texts).key)
+        yield seen.rows()
 
-    slots = held.select("canon").mapInArrow(run, "slot int, bits bigint").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
-    out[slots.column("slot").to_numpy()] = slots.column("bits").to_numpy().astype(np.int64).view(np.uint64)
-    return out
+    return bitmap.assembled(held.select("canon").mapInArrow(run, bitmap.SLOTS))
 
 
-def _signature_blocks(base: DataFrame, order: _Order, parts: int, bounds: _Bounds, bitmap: np.ndarray | None = None) -> DataFrame:
-    """Columnar blocks, one row per (block of texts, list partition). With ``bitmap`` only
-    postings of lists that it has are sent."""
+def _signature_blocks(base: DataFrame, order: _Order, parts: int, bounds: _Bounds, known: np.ndarray | None = None) -> DataFrame:
+    """Columnar blocks, one row per (block of texts, list partition). With ``known``, a
+    bitmap, only postings of lists that it has are sent."""
     list_texts, texts_a_block = LIST_TEXTS, TEXTS_A_BLOCK
 
     def block(digests: list[bytes], sides: np.ndarray, canons: list[str], hashes: _Hashes) -> Iterator[dict]:
         x = _Prefixes(canons, hashes, order, bounds, list_texts)
         key, d, pos = x.key, x.doc, x.pos
-        if bitmap is not None:
-            at = _bit_of(key)
-            there = (bitmap[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+        if known is not None:
+            there = bitmap.has(known, key)
             key, d, pos = key[there], d[there], pos[there]
         part = (_mix(key) >> np.uint64(20)) % np.uint64(parts)
         dig = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
@@ -342,7 +329,7 @@ class _Texts:
         digests, bits = pairs("digests"), pairs("bits")
         sides, sizes = np.concatenate(col("sides")), np.concatenate(col("sizes")).astype(np.int64)
         self.froms = np.concatenate(col("froms")).astype(np.int64)
-        self.probe = bounds.probe_last(sizes)
+        self.probe, self.index = bounds.probe_last(sizes), bounds.index_last(sizes)
         self.ends = np.minimum(sizes, self.probe + MAX_DEPTH)
         lens = np.maximum(self.ends - self.froms, 0)
         self.pre = np.concatenate(col("pre"))
@@ -365,6 +352,18 @@ class _Texts:
         self.held = sides != 0
         self.bounds, self.cross = bounds, cross
         self.counts = {"scanned": 0, "expanded": 0}
+        self.set_slack()
+
+    def set_slack(self) -> None:
+        """Words that two texts may hold apart, by the sum of their sizes."""
+        top = 2 * int(self.sizes.max(initial=0)) + 1
+        both = np.arange(min(top, 1 << 20), dtype=np.int64)
+        self.table = both - 2 * self.bounds.overlap(both)
+
+    def slack(self, both: np.ndarray) -> np.ndarray:
+        if len(both) and int(both.max()) >= len(self.table):
+            return both - 2 * self.bounds.overlap(both)
+        return self.table[both]
 
 
 def _candidates(t: _Texts, key: np.ndarray, doc: np.ndarray, pos: np.ndarray, depth: int, out: list[np.ndarray]) -> None:
@@ -400,11 +399,13 @@ def _candidates(t: _Texts, key: np.ndarray, doc: np.ndarray, pos: np.ndarray, de
         at = np.flatnonzero(t.held[doc])
         asks = np.flatnonzero(~t.held[doc])
     else:
-        at = asks = np.arange(len(doc))
+        # Who is met as the smaller text shares its first tokens in a shorter prefix.
+        indexed = pos <= t.index[doc] + depth - 1
+        at, asks = np.flatnonzero(indexed), np.arange(len(doc))
     sizes = t.sizes[doc]
     place = ((run << 32) | sizes)[at]
     low = np.searchsorted(place, (run[asks] << 32) | t.least[doc[asks]])
-    high = np.searchsorted(place, (run[asks] << 32) | np.minimum(t.most[doc[asks]], (1 << 32) - 1), "right") if t.cross else np.arange(len(asks))
+    high = np.searchsorted(place, (run[asks] << 32) | np.minimum(t.most[doc[asks]], (1 << 32) - 1), "right") if t.cross else np.cumsum(indexed) - indexed
     scans = np.maximum(high - low, 0)
     room = np.minimum(t.ends[doc] - 1, t.probe[doc] + depth) - pos
     small = np.zeros(len(doc), bool)
@@ -426,6 +427,7 @@ def _candidates(t: _Texts, key: np.ndarray, doc: np.ndarray, pos: np.ndarray, de
     more = np.maximum(more, 0)
     t.counts["scanned"] += int(more.sum())
     scan = np.flatnonzero(more > 0)
+    bits, rest = (t.low[doc], t.high[doc]), sizes - pos
     ends, begin_at = np.cumsum(more[scan]), 0
     while begin_at < len(scan):
         done = ends[begin_at - 1] if begin_at else 0
@@ -433,12 +435,16 @@ def _candidates(t: _Texts, key: np.ndarray, doc: np.ndarray, pos: np.ndarray, de
         who, n = scan[begin_at:end], more[scan[begin_at:end]]
         a = np.repeat(asks[who], n)
         b = at[np.repeat(low[who] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())]
-        da, db = doc[a], doc[b]
-        both = t.sizes[da] + t.sizes[db]
+        # Tests from the one that drops most; what is left is looked at further.
+        apart = np.bitwise_count(bits[0][a] ^ bits[0][b])
+        both = sizes[a] + sizes[b]
+        ok = np.flatnonzero(apart <= t.slack(both))
+        a, b, apart, both = a[ok], b[ok], apart[ok], both[ok]
+        apart += np.bitwise_count(bits[1][a] ^ bits[1][b])
         need = t.bounds.overlap(both)
-        apart = np.bitwise_count(t.low[da] ^ t.low[db]).astype(np.int64) + np.bitwise_count(t.high[da] ^ t.high[db])
-        ok = (apart <= both - 2 * need) & (depth + np.minimum(t.sizes[da] - pos[a], t.sizes[db] - pos[b]) - 1 >= need) & (da != db)
-        da, db = da[ok], db[ok]
+        ok = (apart <= both - 2 * need) & (depth + np.minimum(rest[a], rest[b]) - 1 >= need)
+        da, db = doc[a[ok]], doc[b[ok]]
+        da, db = da[da != db], db[da != db]
         out.append(np.unique((np.minimum(da, db) << 32) | np.maximum(da, db)))
         begin_at = end
     inner = np.flatnonzero(small & (room > 0))
@@ -519,8 +525,8 @@ def like_classes(docs: DataFrame, num: int = 7, den: int = 10, cross: bool = Fal
     parts = max(shuffle_partitions(docs.sparkSession), total // TEXTS_A_PARTITION + 1)
     if cross:
         held, training = base.filter("side = 1"), base.filter("side = 0")
-        bitmap = _index_bitmap(held, order, bounds)
-        blocks = _signature_blocks(held, order, parts, bounds).unionByName(_signature_blocks(training, order, parts, bounds, bitmap))
+        known = _index_bitmap(held, order, bounds)
+        blocks = _signature_blocks(held, order, parts, bounds).unionByName(_signature_blocks(training, order, parts, bounds, known))
     else:
         blocks = _signature_blocks(base, order, parts, bounds)
     found = blocks.repartitionById(parts, "part").mapInArrow(_list_pairs(bounds, cross), "da binary, db binary")

@@ -51,7 +51,7 @@ def corpus(seed, n=160):
 
 
 @pytest.mark.parametrize("cross", [False, True])
-@pytest.mark.parametrize("cost,texts", [(12, 200_000), (1, 200_000), (0, 200_000), (0, 1)])
+@pytest.mark.parametrize("cost,texts", [(24, 200_000), (1, 200_000), (0, 200_000), (0, 1)])
 def test_equals_brute_force(spark, monkeypatch, cross, cost, texts):
     monkeypatch.setattr(likeness, "SUBSET_COST", cost)
     monkeypatch.setattr(likeness, "LIST_TEXTS", texts)
@@ -110,9 +110,10 @@ def lists(rows, cross):
     t = likeness._Texts.__new__(likeness._Texts)
     t.bounds, t.cross, t.counts, t.sizes = bounds, cross, {"scanned": 0, "expanded": 0}, x.sizes
     t.low, t.high = x.bits[:, 0].copy(), x.bits[:, 1].copy()
-    t.probe, t.ends, t.pre, t.pre_start = bounds.probe_last(x.sizes), x.keep, x.code, x.starts
+    t.index, t.probe, t.ends, t.pre, t.pre_start = bounds.index_last(x.sizes), bounds.probe_last(x.sizes), x.keep, x.code, x.starts
     t.most, t.least = bounds.most_size(x.sizes), bounds.least_size(x.sizes)
     t.held = np.array([r[1] != 0 for r in rows])
+    t.set_slack()
     return t, x
 
 
