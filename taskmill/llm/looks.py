@@ -19,6 +19,9 @@ CYRILLIC = "аеорсухіѕјһԁԛԝ АВЕКМНОРСТХІЅЈ"
 CYRILLIC_LATIN = "aeopcyxisjhdqw ABEKMHOPCTXISJ"
 GREEK = "ον ΑΒΕΖΗΙΚΜΝΟΡΤΥΧ"
 GREEK_LATIN = "ov ABEZHIKMNOPTYX"
+# The same for Armenian and Cherokee, and the script g of Latin.
+OTHERS = "օոսհց ՕՍՏԼ ᎠᎡᎢᎪᎫᎬᎳᎷᎻᎽᏀᏃᏚᏙᏢᏞᏟᏦᏴ ɡ"
+OTHERS_LATIN = "onuhg OUSL DRTAJEWMHYGZSVPLCKB g"
 
 #: Default-ignorable code points (Unicode property) as ranges; the joiners are kept apart.
 IGNORABLE_RANGES = [
@@ -46,8 +49,11 @@ def _look_table() -> dict[int, str | None]:
             full = unicodedata.normalize("NFD", ch)
             if full[0] in letters:
                 table[cp] = unicodedata.normalize("NFC", letters[full[0]] + full[1:])
+        elif 0x2160 <= cp < 0x2180 and len(codes) == 4:  # a Roman numeral that is one letter
+            table[cp] = chr(int(codes, 16))
         if ch.isspace():
             table[cp] = " "
+    table |= {ord(a): b for a, b in zip(OTHERS, OTHERS_LATIN) if a != " "}
     table |= dict.fromkeys((0x85, 0x2028, 0x2029), "\n")
     table |= {c: " " for c in range(0x20) if chr(c).isspace() and c != 0x0A}
     for lo, hi in IGNORABLE_RANGES:
@@ -56,6 +62,8 @@ def _look_table() -> dict[int, str | None]:
 
 
 _TABLE = _look_table()
+#: Documents of one raw text that one task pairs at once.
+DOCS_A_BUCKET = 5_000
 _ODD_SPACE = re.compile(r"[^\S\n ]")
 
 
@@ -83,16 +91,37 @@ def look_of(text: str) -> str:
     return unicodedata.normalize("NFC", unicodedata.normalize("NFC", text).translate(_TABLE))
 
 
-def _fold(look: str) -> str:
-    if not look.isascii():
-        look = look_of(unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", look).casefold()))
-    return " ".join(look.casefold().split())
+#: What stands for a character in the consistent form: as drawn, and no joiner at all.
+_FORM_TABLE = _TABLE | dict.fromkeys((0x200C, 0x200D))
+
+
+def consistent_forms(texts: list[str]) -> list[str]:
+    """The consistent form of every text: compatibility composition, one look-alike
+    alphabet, no default-ignorable characters, full case folding, single spaces.
+
+    All texts with more than ASCII are joined by a character that none of them holds
+    and go through each step as one string, so a step is one native call.
+    """
+    out = [t if t.isascii() else "" for t in texts]
+    wide = [i for i, t in enumerate(texts) if not t.isascii()]
+    if wide:
+        joined = "".join(texts[i] for i in wide)
+        # Noncharacters compose with nothing, fold to themselves and are no space.
+        sep = next((c for c in ("\uffff", "\ufffe", *map(chr, range(0xFDD0, 0xFDF0))) if c not in joined), None)
+        parts = [sep.join(texts[i] for i in wide)] if sep else [texts[i] for i in wide]
+        done = []
+        for s in parts:
+            s = unicodedata.normalize("NFKC", s).translate(_FORM_TABLE)
+            s = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", s).casefold())
+            done.append(unicodedata.normalize("NFKC", s.translate(_FORM_TABLE)))
+        for i, s in zip(wide, done[0].split(sep) if sep else done):
+            out[i] = s
+    return [" ".join(s.casefold().split()) for s in out]
 
 
 def consistent_form(text: str | None) -> str | None:
-    """Compatibility-composed, fully case-folded text with one look-alike alphabet,
-    single spaces and no default-ignorable characters. Null stays null."""
-    return None if text is None else _fold(look_of(text))
+    """The consistent form of one text. Null stays null."""
+    return None if text is None else consistent_forms([text])[0]
 
 
 def normalized(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -102,7 +131,7 @@ def normalized(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             enc = b.column(1).dictionary_encode()
-            forms = pa.array([consistent_form(x) for x in enc.dictionary.to_pylist()], pa.string())
+            forms = pa.array(consistent_forms(enc.dictionary.to_pylist()), pa.string())
             yield pa.RecordBatch.from_arrays([b.column(0), forms.take(enc.indices)], [id_col, "form"])
 
     src = df.select(F.col(id_col).cast("bigint").alias(id_col), F.col(text_col).cast("string").alias("form"))
@@ -113,60 +142,72 @@ def _digest(s: str) -> bytes:
     return hashlib.blake2b(s.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
-def _keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _form_keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         enc = b.column(1).dictionary_encode()
-        form, look, raw = [], [], []
-        for t in enc.dictionary.to_pylist():
-            seen = look_of(t)
-            f = _fold(seen)
-            form.append(_digest(f) if f else None)
-            look.append(_digest(seen))
-            raw.append(_digest(t))
-        cols = [pa.array(x, pa.binary()).take(enc.indices) for x in (form, look, raw)]
-        out = pa.RecordBatch.from_arrays([b.column(0), *cols], ["doc_id", "form", "look", "raw"])
+        texts = enc.dictionary.to_pylist()
+        form = [_digest(f) if f else None for f in consistent_forms(texts)]
+        cols = [pa.array(x, pa.binary()).take(enc.indices) for x in (form, [_digest(t) for t in texts])]
+        out = pa.RecordBatch.from_arrays([b.column(0), *cols], ["doc_id", "form", "raw"])
         yield out.filter(pc.is_valid(out.column(1)))
 
 
-def look_keys(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, form, look, raw): 128-bit digests of each text with visible content."""
+def _looks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        enc = b.column(1).dictionary_encode()
+        texts = enc.dictionary.to_pylist()
+        look = pa.array([look_of(t) for t in texts], pa.string()).take(enc.indices)
+        raw = pa.array([_digest(t) for t in texts], pa.binary()).take(enc.indices)
+        yield pa.RecordBatch.from_arrays([b.column(0), look, raw], ["doc_id", "look", "raw"])
+
+
+def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     src = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.filter("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(
-        _keys, "doc_id bigint, form binary, look binary, raw binary"
-    )
+    return src.filter("doc_id IS NOT NULL AND text IS NOT NULL")
+
+
+def same_look(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(class_id, raw, doc_id): members of looks that are written in more than one way.
+
+    The consistent form blocks: only texts that share a form with a different text
+    are looked at again. Inside a form the exact look (which keeps case, accents
+    and punctuation) is compared as text. ``class_id`` is the smallest id of a look.
+    Texts that look the same have the same form, so no pair is lost between forms.
+    """
+    src = _texts(df, id_col, text_col)
+    keys = cut(src.mapInArrow(_form_keys, "doc_id bigint, form binary, raw binary"))
+    # Copies count once: a form held by a third of all rows is one row an Arrow batch here.
+    mixed = keys.groupBy("form").agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).filter("lo <> hi").select("form")
+    again = keys.join(mixed, "form", "left_semi").select("doc_id").distinct()
+    looks = src.join(again, "doc_id", "left_semi").mapInArrow(_looks, "doc_id bigint, look string, raw binary")
+    classes = looks.groupBy("look").agg(F.min("raw").alias("lo"), F.max("raw").alias("hi"), F.min("doc_id").alias("class_id"))
+    classes = classes.filter("lo <> hi").select("look", "class_id")
+    return looks.join(classes, "look").select("class_id", "raw", "doc_id").distinct()
 
 
 def same_look_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_a, doc_b): documents whose texts look the same but differ in code points.
 
-    The consistent form brings candidates together; inside a form the exact look
-    (which keeps case, accents and punctuation) must agree and the raw text differ.
-    Copies are first collapsed to one row per raw text, so a class held by a third
-    of all rows costs its variants, not its members; only the pairs asked for are
-    written out. Null and blank texts are in no pair; repeated rows of one id count once.
+    Only the pairs asked for are written out, by pairs of different raw texts of a
+    look; the documents of one raw text are dealt to buckets, so that its pairs
+    spread over tasks. Null and blank texts are in no pair; repeated rows of one id
+    count once; a row of no or several texts is judged by each of them.
     """
-    keys = cut(look_keys(df, id_col, text_col))
-    by_look = ["form", "look"]
-    mixed = (
-        keys.groupBy(*by_look).agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).filter("lo <> hi").select(*by_look)
+    docs = cut(same_look(df, id_col, text_col))
+    variants = docs.groupBy("class_id", "raw").agg(F.expr(f"1 + count(*) div {DOCS_A_BUCKET}").alias("k"))
+    dealt = docs.join(variants, ["class_id", "raw"]).select("class_id", "raw", "doc_id", F.pmod(F.xxhash64("doc_id"), "k").alias("bucket"))
+    pairs = variants.alias("a").join(variants.alias("b"), "class_id").filter("a.raw < b.raw").select(
+        "class_id", F.col("a.raw").alias("raw"), F.col("b.raw").alias("raw_b"), F.explode(F.expr("sequence(0, a.k - 1)")).alias("bucket"), F.col("b.k").alias("kb")
     )
-    docs = keys.join(mixed, by_look, "left_semi").select("look", "raw", "doc_id").distinct()
-    variants = docs.select("look", "raw").distinct()
-    pairs = variants.alias("a").join(variants.alias("b"), "look").filter("a.raw < b.raw").select(
-        "look", F.col("a.raw").alias("raw"), F.col("b.raw").alias("raw_b")
+    left = pairs.join(dealt, ["class_id", "raw", "bucket"]).select(
+        "class_id", F.col("raw_b").alias("raw"), F.col("doc_id").alias("x"), F.explode(F.expr("sequence(0, kb - 1)")).alias("bucket")
     )
-    left = pairs.join(docs, ["look", "raw"]).select("look", F.col("raw_b").alias("raw"), F.col("doc_id").alias("x"))
-    both = left.join(docs, ["look", "raw"])
+    both = left.join(dealt, ["class_id", "raw", "bucket"])
     return both.filter("x <> doc_id").select(F.least("x", "doc_id").alias("doc_a"), F.greatest("x", "doc_id").alias("doc_b")).distinct()
 
 
 def look_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(class_id, texts, docs): per look with more than one raw text, its smallest id and sizes."""
-    keys = look_keys(df, id_col, text_col)
-    variants = keys.groupBy("look", "raw").agg(F.min("doc_id").alias("lo"), F.count("*").alias("n"))
-    return (
-        variants.groupBy("look")
-        .agg(F.min("lo").alias("class_id"), F.count("*").alias("texts"), F.sum("n").alias("docs"))
-        .filter("texts > 1")
-        .select("class_id", "texts", "docs")
-    )
+    """(class_id, texts, docs): per look with more than one raw text, its smallest id, how
+    many different raw texts it has and how many documents."""
+    docs = same_look(df, id_col, text_col)
+    return docs.groupBy("class_id").agg(F.count_distinct("raw").alias("texts"), F.count_distinct("doc_id").alias("docs"))

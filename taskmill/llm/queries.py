@@ -7,6 +7,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from taskmill.llm import defects, keep_together, leaks, likeness, looks, quota_sample, sorted_runs, trie_bpe
 from taskmill.llm.words import passage_number, split_kind
@@ -79,21 +80,31 @@ def p3_collapsed(spark: SparkSession, d: str) -> DataFrame:
 
 def _entities() -> dict:
     qid = F.lower(F.regexp_replace("question_id", r"[\s\p{Z}]+", ""))
-    return {"passage": passage_number(F.col("question_id")), "question": F.when(qid != "", qid)}
+    # The same words under two passages, too, keep their rows together.
+    wording = F.concat_ws(" ", F.regexp_extract_all(F.lower("question_text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
+    return {"passage": passage_number(F.col("question_id")), "question": F.when(qid != "", qid), "wording": F.when(wording != "", wording)}
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    t = table(spark, d, "task_items").select("task_key", "question_id", "data_split")
+    t = table(spark, d, "task_items").select("task_key", "question_id", "question_text", "data_split")
     torn = keep_together.torn(t, "task_key", _entities(), split_kind(F.col("data_split")))
     return torn.select(F.col("value").alias("passage_no"))
 
 
 def p5_splits(spark: SparkSession, d: str) -> DataFrame:
-    t = table(spark, d, "task_items").select("task_key", "question_id")
+    t = table(spark, d, "task_items").select("task_key", "question_id", "question_text")
     out = keep_together.assign_splits(t, "task_key", _entities(), SHARES)
     return out.select(F.col("rec_id").alias("task_key"), F.col("split").alias("new_split"))
 
 
+def p5_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Rows, share of all rows in thousandths and wanted thousandths of each new split."""
+    n = p5_splits(spark, d).groupBy("new_split").agg(F.count("*").alias("rows"))
+    n = n.withColumn("total", F.sum("rows").over(Window.partitionBy(F.lit(0))))  # one row a split
+    wanted = F.create_map(*[F.lit(x) for k, v in SHARES.items() for x in (k, round(1000 * v))])
+    return n.select("new_split", "rows", F.round(1000 * F.col("rows") / F.col("total"), 1).alias("permille"), wanted[F.col("new_split")].alias("wanted_permille"))
+
+
 def _categories(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "task_items").select(F.lit("task_items").alias("table_name"), F.col("domain").alias("category"), F.col("task_key").alias("rec_id"))
     p = table(spark, d, "question_pool").select(F.lit("question_pool").alias("table_name"), F.col("subject").alias("category"), F.col("pool_key").alias("rec_id"))
@@ -109,7 +120,13 @@ def p6_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_sample(spark: SparkSession, d: str) -> DataFrame:
-    return quota_sample.draw(table(spark, d, "category_targets"), _categories(spark, d))
+    return quota_sample.draw(table(spark, d, "category_targets"), _categories(spark, d)).select("plan_id", "category", "rec_id")
+
+
+def p6_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the sample and distinct records by plan and category."""
+    drawn = p6_sample(spark, d).groupBy("plan_id", "category")
+    return drawn.agg(F.count("*").alias("drawn"), F.count_distinct("rec_id").alias("records"))
 
 
 def vocabulary(name: str) -> tuple[str, str]:
@@ -149,7 +166,7 @@ def p9_classes(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_classes, p1_report, p2_found, p2_report, p3_found, p3_collapsed, p4_found, p4_classes, p5_found, p5_splits, p6_found, p6_report, p6_sample, p7_ids, p8_found, p8_items, p9_found, p9_form, p9_classes)
+    for f in (p1_found, p1_classes, p1_report, p2_found, p2_report, p3_found, p3_collapsed, p4_found, p4_classes, p5_found, p5_splits, p5_shares, p6_found, p6_report, p6_sample, p6_shares, p7_ids, p8_found, p8_items, p9_found, p9_form, p9_classes)
 }
 
 _KIND = (
@@ -195,5 +212,6 @@ SQL = {
                {_KIND} AS k FROM task_items)
       WHERE p <> '' AND k IS NOT NULL GROUP BY p HAVING count(DISTINCT k) > 1""",
     "p6_found": _NEEDS + "SELECT plan_id, category FROM x WHERE have < needed",
-    "p6_report": _NEEDS + "SELECT plan_id, category, needed, have, greatest(0, needed - have) AS deficit FROM x",
+    "p6_report": _NEEDS + "SELECT plan_id, category, needed, have, least(needed, have) AS drawn, greatest(0, needed - have) AS deficit FROM x",
+    "p6_shares": _NEEDS + "SELECT plan_id, category, least(needed, have) AS drawn, least(needed, have) AS records FROM x WHERE least(needed, have) > 0",
 }
