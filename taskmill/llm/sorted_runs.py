@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from taskmill.llm.words import words
-from taskmill.runtime import cut, shuffle_partitions
+from taskmill.runtime import cut, shuffle_partitions, stored
+
+#: Records of one range on average.
+RECORDS_A_PARTITION = 1_000_000
 
 # Key names the task schema accepts, first present one counts.
 QUESTION_KEYS = ("question_text", "question")
@@ -56,68 +59,69 @@ def canonical_records(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
 
 
 def _scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Walks one sorted partition and compares each full key with the one before it."""
+    """Walks one sorted partition and compares each full key with the one before it.
+
+    The keys of the first and the last row are passed on for the borders.
+    """
     prev: str | None = None
     keep, run_no = None, -1
+    names = ["rec_id", "part", "keep_id", "run_no", "edge"]
+    held: list | None = None
+
+    def batch(ids: pa.Array, part: pa.Array, keeps: list, runs: list, edges: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([ids, part, pa.array(keeps, pa.int64()), pa.array(runs, pa.int64()), pa.array(edges, pa.string())], names)
+
     for b in batches:
-        keys = b.column(1).to_pylist()
-        ids = b.column(0).to_pylist()
-        keeps, runs, digests = [], [], []
-        for i, k in zip(ids, keys):
+        if not b.num_rows:
+            continue
+        keeps, runs, edges = [], [], [None] * b.num_rows
+        if held is None:
+            edges[0] = b.column(1)[0].as_py()
+        else:
+            yield batch(*held)
+        for i, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             if k != prev:
                 prev, keep, run_no = k, i, run_no + 1
-                digest = hashlib.blake2b(k.encode("utf-8", "surrogatepass"), digest_size=16).digest()
             keeps.append(keep)
             runs.append(run_no)
-            digests.append(digest)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), b.column(2), pa.array(keeps, pa.int64()), pa.array(runs, pa.int64()), pa.array(digests, pa.binary())],
-            ["rec_id", "part", "keep_id", "run_no", "digest"],
-        )
+        held = [b.column(0), b.column(2), keeps, runs, edges]
+    if held is not None:
+        held[4][-1] = prev
+        yield batch(*held)
 
 
 def copy_runs(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
     """(rec_id, keep_id): every record with the smallest id of its copies.
 
-    Records are range-partitioned by (canonical key, id), so even one key that
-    holds a third of all rows spreads over many partitions; each partition is
-    sorted (Spark's sorter spills to disk) and its adjacent rows are compared by
-    their full keys. A run that began in an earlier partition is stitched by
-    one boundary row per partition, the only data that reaches the driver.
-    Repeated (id, line) rows keep one output row each. Empty input: no rows.
+    Canonical records are written once, then range-partitioned by (key, id), so even
+    one key that holds a third of all rows spreads over many partitions; each
+    partition is sorted (Spark's sorter spills to disk) and its adjacent rows are
+    compared by their full keys. A run that began in an earlier partition is
+    stitched by comparing the full keys at the borders; only one small row a
+    partition, without keys, reaches the driver. Repeated (id, line) rows keep one
+    output row each. Empty input: no rows.
     """
-    spark = df.sparkSession
-    canon = canonical_records(df, id_col, json_col)
-    parts = shuffle_partitions(spark)
+    canon = stored(canonical_records(df, id_col, json_col))
+    parts = max(shuffle_partitions(df.sparkSession), canon.count() // RECORDS_A_PARTITION + 1)
     ordered = canon.repartitionByRange(parts, "canon", "rec_id").sortWithinPartitions("canon", "rec_id")
-    scanned = cut(
-        ordered.withColumn("part", F.spark_partition_id()).mapInArrow(
-            _scan, "rec_id bigint, part int, keep_id bigint, run_no bigint, digest binary"
-        )
-    )
-    edges = (
-        scanned.groupBy("part")
-        .agg(
-            F.min_by("digest", "run_no").alias("first"),
-            F.max_by("digest", "run_no").alias("last"),
-            F.max_by("keep_id", "run_no").alias("last_keep"),
-            F.max("run_no").alias("runs"),
-        )
-        .orderBy("part")
-        .collect()
-    )
+    scanned = cut(ordered.withColumn("part", F.spark_partition_id()).mapInArrow(_scan, "rec_id bigint, part int, keep_id bigint, run_no bigint, edge string"))
+    ends = scanned.filter("edge IS NOT NULL").groupBy("part").agg(F.min_by("edge", "run_no").alias("first"), F.max_by("edge", "run_no").alias("last"))
+    sums = scanned.groupBy("part").agg(F.max_by("keep_id", "run_no").alias("last_keep"), F.max("run_no").alias("runs"))
+    before = Window.orderBy("part")  # one row a partition
+    ends = ends.withColumn("same", F.coalesce(F.col("first") == F.lag("last").over(before), F.lit(False))).select("part", "same")
     carried: dict[int, int] = {}
-    last, keep = None, None
-    for e in edges:
-        if last is not None and bytes(e["first"]) == last:
+    keep = None
+    for e in sums.join(ends, "part").orderBy("part").collect():
+        if e["same"]:
             carried[e["part"]] = keep
             if e["runs"] == 0:
                 continue
-        last, keep = bytes(e["last"]), e["last_keep"]
+        keep = e["last_keep"]
     out = scanned.select("rec_id", "keep_id", "part", "run_no")
     if carried:
-        fix = F.create_map(*[F.lit(x) for kv in carried.items() for x in kv])
-        out = out.withColumn("keep_id", F.when(F.col("run_no") == 0, F.coalesce(fix[F.col("part")], "keep_id")).otherwise(F.col("keep_id")))
+        fix = df.sparkSession.createDataFrame(list(carried.items()), "part int, carried bigint")
+        out = out.join(F.broadcast(fix), "part", "left")  # at most one row a partition
+        out = out.withColumn("keep_id", F.when(F.col("run_no") == 0, F.coalesce("carried", "keep_id")).otherwise(F.col("keep_id")))
     return out.select("rec_id", "keep_id")
 
 
