@@ -2,6 +2,10 @@
 
 import random
 
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
 from taskmill.llm import defects, leaks
 
 LETTERS = "bcdfghjklmnp"
@@ -12,7 +16,7 @@ def vocabulary(n, seed):
     return ["".join(rnd.choice(LETTERS) + rnd.choice("aeiou") for _ in range(3)) for _ in range(n)]
 
 
-def test_leaks(spark):
+def test_leaks(spark, monkeypatch):
     v = vocabulary(400, 1)
     item, other, short = v[:60], v[100:160], v[200:212]
     stock = "Read the passage and choose the best answer. "
@@ -33,9 +37,11 @@ def test_leaks(spark):
     its = spark.createDataFrame(items, "item_id bigint, item_text string")
     got = {tuple(r) for r in leaks.leaks(df, its).collect()}
     assert got == {(1, 1), (2, 1), (5, 1), (6, 1), (10, 3), (12, 2)}
-    old, leaks.BLOCK_ITEMS = leaks.BLOCK_ITEMS, 3
-    assert {tuple(r) for r in leaks.leaks(df, its).collect()} == got
-    leaks.BLOCK_ITEMS = old
+    for common in (0, 2):  # every seed, or those of several items, are left out where that may be
+        monkeypatch.setattr(leaks, "COMMON", common)
+        assert {tuple(r) for r in leaks.leaks(df, its).collect()} == got
+    report = {(r["item_id"], r["documents"]) for r in leaks.leak_report(df.withColumn("seed", F.lit(1)), its).collect()}
+    assert report == {(1, 4), (2, 1), (3, 1)}
     assert leaks.leaks(df.limit(0), its).count() == 0 and leaks.leaks(df, its.limit(0)).count() == 0
 
 
@@ -144,6 +150,31 @@ def test_leaks_of_a_passage_that_many_items_share(spark):
     assert {tuple(r) for r in leaks.leaks(df, its).collect()} == {(d, i) for d in (1, 2) for i in range(12)}
 
 
+@pytest.mark.parametrize("share", [2, 3, 4, 5, 6, 20, 50])
+def test_leaks_however_many_items_share_the_passage(spark, share):
+    rnd = random.Random(share)
+    v, noise = vocabulary(3000, 3), vocabulary(200, 9)
+    passage, sentence = v[:60], v[60:120]
+    items = [(i, " ".join(passage + v[200 + 12 * i : 212 + 12 * i])) for i in range(share)]
+    items += [(100 + i, " ".join(sentence) + ". " + " ".join(v[1000 + 12 * i : 1012 + 12 * i])) for i in range(share)]
+    items += [(1000 + i, " ".join(rnd.sample(v, 40))) for i in range(100 - share)]
+    docs = [(1, " ".join(noise[:30] + passage + noise[30:60])), (2, " ".join(noise[:30] + sentence[5:50] + noise[30:60])), (3, " ".join(noise))]
+    df, its = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, item_text string")
+    assert {tuple(r) for r in leaks.leaks(df, its).collect()} == {(1, i) for i in range(share)} | {(2, 100 + i) for i in range(share)}
+
+
+def test_common_seeds_leave_enough_rare_ones():
+    rnd = random.Random(8)
+    for _ in range(300):
+        n = rnd.randint(16, 60)
+        owners = [rnd.choice([1, 1, 500, 900]) for _ in range(n)]
+        kept, need = leaks.rare_places(owners, 5, leaks.WINDOW)
+        gone = np.ones(n, int)
+        gone[kept] = 0
+        assert all(gone[i : i + leaks.WINDOW].sum() <= 4 for i in range(n)) and all(owners[p] > leaks.COMMON for p in np.flatnonzero(gone))
+        assert need == (1 if gone.any() else 5)
+
+
 def test_leaks_of_short_items(spark):
     v, noise = vocabulary(400, 3), vocabulary(200, 9)
     items, docs, want = [], [], set()
