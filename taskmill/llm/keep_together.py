@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from taskmill.runtime import cut, shuffle_partitions
+from taskmill.runtime import cut, shuffle_partitions, stored
 
 
 class Forest(NamedTuple):
@@ -24,6 +24,12 @@ def _node(kind: str, col: Column) -> Column:
     return F.when(col.isNotNull(), F.xxhash64(F.lit(kind), col.cast("string")))
 
 
+def _step(df: DataFrame) -> DataFrame:
+    """A written table, whose size Spark knows. A checkpoint would carry its plan's size
+    estimate on, and that of a table joined to itself is squared in every step."""
+    return stored(df)
+
+
 def spanning_forest(edges: DataFrame) -> Forest:
     """Minimum-edge contraction of an undirected graph (u bigint, v bigint).
 
@@ -35,34 +41,34 @@ def spanning_forest(edges: DataFrame) -> Forest:
     """
     spark = edges.sparkSession
     e = edges.filter("u IS NOT NULL AND v IS NOT NULL AND u <> v").select(F.least("u", "v").alias("ou"), F.greatest("u", "v").alias("ov")).distinct()
-    e = cut(e.select("ou", "ov", F.xxhash64("ou", "ov").alias("w"), F.col("ou").alias("u"), F.col("ov").alias("v")))
+    e = _step(e.select("ou", "ov", F.xxhash64("ou", "ov").alias("w"), F.col("ou").alias("u"), F.col("ov").alias("v")))
     labels = e.select(F.explode(F.array("u", "v")).alias("node")).distinct().select("node", F.col("node").alias("root"))
     forest = spark.createDataFrame([], "u bigint, v bigint")
     rounds = 0
     while not e.isEmpty():
         rounds += 1
         both = e.unionByName(e.select("ou", "ov", "w", F.col("v").alias("u"), F.col("u").alias("v")))
-        best = cut(both.groupBy("u").agg(F.min(F.struct("w", "ou", "ov", "v")).alias("b")).select("u", "b.ou", "b.ov", F.col("b.v").alias("p")))
+        best = _step(both.groupBy("u").agg(F.min(F.struct("w", "ou", "ov", "v")).alias("b")).select("u", "b.ou", "b.ov", F.col("b.v").alias("p")))
         forest = forest.unionByName(best.select(F.col("ou").alias("u"), F.col("ov").alias("v")).distinct())
         # Two components that picked the same edge: the smaller one becomes the root.
         up = best.select("u", "p")
         back = up.select(F.col("u").alias("p"), F.col("p").alias("pp"))
-        up = cut(up.join(back, "p").select("u", F.when((F.col("pp") == F.col("u")) & (F.col("u") < F.col("p")), F.col("u")).otherwise(F.col("p")).alias("p")))
+        up = _step(up.join(back, "p").select("u", F.when((F.col("pp") == F.col("u")) & (F.col("u") < F.col("p")), F.col("u")).otherwise(F.col("p")).alias("p")))
         while True:
-            nxt = cut(up.alias("x").join(up.alias("y"), F.col("x.p") == F.col("y.u")).select(F.col("x.u"), F.col("y.p").alias("p"), (F.col("x.p") != F.col("y.p")).alias("moved")))
+            nxt = _step(up.alias("x").join(up.alias("y"), F.col("x.p") == F.col("y.u")).select(F.col("x.u"), F.col("y.p").alias("p"), (F.col("x.p") != F.col("y.p")).alias("moved")))
             moved = not nxt.filter("moved").isEmpty()
             up = nxt.select("u", "p")
             if not moved:
                 break
-        labels = cut(labels.join(up, labels.root == up.u, "left").select("node", F.coalesce("p", "root").alias("root")))
+        labels = _step(labels.join(up, labels.root == up.u, "left").select("node", F.coalesce("p", "root").alias("root")))
         a, b = up.select("u", F.col("p").alias("pu")), up.select(F.col("u").alias("v"), F.col("p").alias("pv"))
-        e = cut(
+        e = _step(
             e.join(a, "u").join(b, "v").filter("pu <> pv")
             .groupBy(F.least("pu", "pv").alias("u"), F.greatest("pu", "pv").alias("v"))
             .agg(F.min(F.struct("w", "ou", "ov")).alias("m"))
             .select("m.ou", "m.ov", "m.w", "u", "v")
         )
-    return Forest(cut(forest.distinct()), labels, rounds)
+    return Forest(_step(forest.distinct()), labels, rounds)
 
 
 class Related(NamedTuple):
@@ -90,7 +96,7 @@ def related_rows(df: DataFrame, id_col: str, entities: Mapping[str, Column], kee
         *[F.col(c) for c in keep],
     )
     own = F.xxhash64(F.lit("row"), "rec_id")
-    rows = cut(rows.withColumn("anchor", F.coalesce(*[F.col(f"n{i}") for i in range(len(kinds))], own)))
+    rows = stored(rows.withColumn("anchor", F.coalesce(*[F.col(f"n{i}") for i in range(len(kinds))], own)))
     anchors = rows.groupBy("anchor").agg(F.count("*").alias("n"))
     ends = None
     for i in range(1, len(kinds)):
@@ -99,7 +105,7 @@ def related_rows(df: DataFrame, id_col: str, entities: Mapping[str, Column], kee
         ends = known if ends is None else ends.unionByName(known)
     if ends is None:
         ends = df.sparkSession.createDataFrame([], "u bigint, v bigint")
-    ends = cut(ends)
+    ends = stored(ends)
     bridges = ends.groupBy("u").agg(F.count("*").alias("k")).filter("k > 1").select("u")
     forest = spanning_forest(ends.join(bridges, "u", "left_semi"))
     roots = anchors.join(forest.labels, anchors.anchor == forest.labels.node, "left").select("anchor", "n", F.coalesce("root", "anchor").alias("root"))
@@ -154,7 +160,7 @@ def deal(components: DataFrame, shares: Mapping[str, float]) -> DataFrame:
 def assign_splits(df: DataFrame, id_col: str, entities: Mapping[str, Column], shares: Mapping[str, float]) -> DataFrame:
     """(rec_id, root, split): every row, with related rows in one split. Null ids stay."""
     related = related_rows(df, id_col, entities)
-    roots = cut(related.roots)
+    roots = stored(related.roots)
     dealt = deal(roots.groupBy("root").agg(F.sum("n").alias("rows")), shares)
     placed = roots.join(dealt.select("root", "split"), "root").select("anchor", "root", "split")
     return related.rows.join(placed, "anchor").select("rec_id", "root", "split")
