@@ -12,15 +12,22 @@ from pyspark.sql import functions as F
 
 from taskmill.functions.text import clean, strip
 
-LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+LEAST, MOST = -(1 << 31), (1 << 31) - 1
 
 
 def _letter_index(c: Column) -> Column:
     return F.when(F.upper(c).rlike(r"^[A-Z]\z"), F.ascii(F.upper(c)) - F.lit(65))
 
 
+def whole(c: Column) -> Column:
+    """Digits with or without a minus as an int. A number beyond the type becomes its
+    greatest or smallest value, which is out of the range of any choices as well."""
+    n = F.coalesce(c.try_cast("bigint"), F.when(c.startswith("-"), LEAST).otherwise(MOST))
+    return F.greatest(F.least(n, F.lit(MOST)), F.lit(LEAST)).cast("int")
+
+
 def _digits(c: Column) -> Column:
-    return F.when(c.rlike(r"^[0-9]+\z"), F.try_to_number(c, F.lit("9" * 18)).cast("bigint"))
+    return F.when(c.rlike(r"^[0-9]+\z"), whole(c))
 
 
 def _position(choices: Column, text: Column) -> Column:
@@ -34,8 +41,8 @@ def adapter_index(raw: Column, choices: Column, kind: Column | None = None) -> C
     ``kind`` is the JSON kind of the raw answer where it is known; booleans have no index.
     """
     text = clean(raw)
-    number = F.when(text.rlike(r"^-?[0-9]+\.0+\z"), F.split(text, r"\.")[0].cast("bigint"))
-    negative = F.when(text.rlike(r"^-[0-9]+\z"), text.cast("bigint"))
+    number = F.when(text.rlike(r"^-?[0-9]+\.0+\z"), whole(F.split(text, r"\.")[0]))
+    negative = F.when(text.rlike(r"^-[0-9]+\z"), whole(text))
     as_text = F.coalesce(_digits(text), _letter_index(text), _position(choices, text))
     if kind is None:
         return F.when(text != "", as_text).cast("int")
@@ -50,7 +57,7 @@ def schema_index(answer: Column, index: Column, choices: Column, kind: Column |
     text = F.upper(strip(index))
     given = F.coalesce(_letter_index(text), _digits(text))
     if kind is not None:
-        number = F.when(strip(index).rlike(r"^-?[0-9]+\z"), strip(index).cast("bigint"))
+        number = F.when(strip(index).rlike(r"^-?[0-9]+\z"), whole(strip(index)))
         given = F.when(kind == "boolean", F.when(F.lower(index) == "true", 1).otherwise(0)).when(kind == "number", number).when(kind == "string", given)
     return F.when(F.size(choices) > 0, F.coalesce(given, F.when(answer != "", _position(choices, answer)))).cast("int")
 
@@ -67,12 +74,12 @@ def answer_label(index: Column) -> Column:
 
 
 def option_label(index: Column) -> Column:
-    """Bijective base 26: 0 is A, 25 Z, 26 AA, up to four letters."""
+    """Bijective base 26: 0 is A, 25 Z, 26 AA, up to the seven letters of the largest int."""
     def digit(n: Column) -> Column:
         return F.char((n % 26).cast("int") + 65)
 
     carry = [index.cast("bigint")]
-    for _ in range(3):
+    for _ in range(6):
         carry.append(F.floor(carry[-1] / 26) - 1)
     out = F.lit("")
     for c in carry:
@@ -85,9 +92,8 @@ def sampled_answer(raw: Column, choices: Column, kind: Column) -> Column:
     label, digits in range, an exact choice; otherwise the stripped text."""
     n = F.size(choices)
     text = strip(raw)
-    as_int = F.when(kind == "boolean", F.when(F.lower(raw) == "true", 1).otherwise(0)).otherwise(F.expr("null")).cast("bigint")
-    whole = F.when(kind == "number", F.when(text.rlike(r"^-?[0-9]+\z"), text.cast("bigint")))
-    as_int = F.coalesce(as_int, whole)
+    as_int = F.when(kind == "boolean", F.when(F.lower(raw) == "true", 1).otherwise(0))
+    as_int = F.coalesce(as_int, F.when((kind == "number") & text.rlike(r"^-?[0-9]+\z"), whole(text)))
     spelled = F.when(kind == "boolean", F.initcap(raw)).otherwise(text)
     labels = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), option_label)
     valid = (n > 0) & F.array_contains(labels, F.upper(text))

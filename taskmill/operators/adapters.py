@@ -11,15 +11,20 @@ from taskmill.functions.answers import adapter_index, answer_label, canonical_an
 from taskmill.functions.render import adapter_prompt
 from taskmill.functions.text import clean, domain_name, non_blank, strip, subject_name, tidy_list, trivia_answer
 from taskmill.operators.ordering import interleaved, ranked
-from taskmill.operators.subjects import infer_subject, token_index
+from taskmill.operators.subjects import checked_index, infer_subject, token_index
 from taskmill.runtime import stored
-from taskmill.sources.config import pick_split
+from taskmill.sources.config import pick_split, subject_configs
 from taskmill.sources.schema import TASK_COLUMNS
 
 CAIS_SPLITS = ("auxiliary_train", "dev", "validation")
 TRIVIA_SPLITS = ("train", "validation")
 
 
+def _json(*parts: Column) -> Column:
+    """A JSON object of the parts, nulls kept."""
+    return F.to_json(F.struct(*parts), {"ignoreNullFields": "false"})
+
+
 def built(rows: DataFrame, dataset: str, split: Column, subject: Column) -> DataFrame:
     """Adds the built record: cleaned question and choices, index, canonical answer, prompt."""
     out = rows.withColumn("source_dataset", F.lit(dataset)).withColumn("source_split", split).withColumn("_subject", subject)
@@ -30,10 +35,12 @@ def built(rows: DataFrame, dataset: str, split: Column, subject: Column) -> Data
     return out.drop("subject").withColumnRenamed("_subject", "subject").withColumn("answer_label", answer_label(F.col("answer_index")))
 
 
-def as_tasks(rows: DataFrame, benchmark: str, question_id: Column, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Task columns of built records or pool records (all multiple choice)."""
+def as_tasks(rows: DataFrame, benchmark: str, question_id: Column, keep: tuple[str, ...] = (), pool: bool = False) -> DataFrame:
+    """Task columns of built records or pool records (all multiple choice). The metadata
+    holds the record's ``meta`` object, that of a pool record its prompt, too."""
     answer = clean(F.col("answer"))
-    meta = F.to_json(F.struct(F.lit(benchmark).alias("benchmark_name"), "source_dataset", "source_split"))
+    prompt = [F.col("prompt_text")] if pool else []
+    meta = _json(F.lit(benchmark).alias("benchmark_name"), F.col("source_dataset"), F.col("source_split"), *prompt, F.try_parse_json("meta").alias("source_meta"))
     return rows.select(
         *keep, question_id.alias("question_id"), F.coalesce(non_blank(F.col("source_split")), F.lit("train")).alias("data_split"),
         domain_name(F.col("subject"), F.lit(benchmark)).alias("domain"), F.lit("multiple_choice").alias("question_type"),
@@ -49,7 +56,10 @@ def labelled_pool(rows: DataFrame, name: str, dataset: str, split: str, order: l
     rows: (config, subject, question, choices, answer) and a unique order key.
     """
     subject = F.coalesce(F.nullif(subject_name(F.col("subject")), F.lit("")), subject_name(F.col("config")))
-    out = interleaved(built(rows, dataset, F.lit(split), subject), "config", order, limit)
+    out = built(rows, dataset, F.lit(split), subject)
+    config = F.col("config")
+    out = out.withColumn("meta", _json(config.alias("source_subset"), config.alias("source_subject_config"), F.col("raw_answer").alias("original_answer"), F.col("answer_label")))
+    out = interleaved(out, "config", order, limit)
     return as_tasks(out, name, F.concat(F.lit(f"{name}::{split}::"), F.col("position")), ("position",))
 
 
@@ -62,6 +72,11 @@ def unlabelled_pool(rows: DataFrame, index: DataFrame, name: str, dataset: str,
     out = built(rows.drop("config"), dataset, F.lit(split), F.lit(None).cast("string")).drop("subject").join(guess, order[0])
     out = out.withColumnRenamed("_guess", "subject").withColumn("_group", F.coalesce("_config", "subject"))
     out = out.withColumn("prompt_text", adapter_prompt(F.col("subject"), F.col("question"), F.col("choices")))
+    head, tail = [F.lit("all").alias("source_subset")], [F.col("raw_answer").alias("original_answer"), F.col("answer_label")]
+    score, config = F.col("score").alias("subject_inference_score"), F.col("_config").alias("source_subject_config")
+    inferred = _json(*head, F.lit("inferred_from_labeled_splits").alias("subject_source"), score, config, *tail)
+    default = _json(*head, F.lit("fallback_default").alias("subject_source"), score, *tail)
+    out = out.withColumn("meta", F.when(F.col("_config").isNotNull(), inferred).otherwise(default))
     out = interleaved(out, "_group", order, limit)
     return as_tasks(out, name, F.concat(F.lit(f"{name}::{split}::"), F.col("position")), ("position", "score"))
 
@@ -86,10 +101,9 @@ def question_pool(rows: DataFrame, name: str, order: list[str], limit: int | Non
     """Pool records as tasks; ids carry the global position and each row's own split."""
     if limit is not None and limit < 1:
         raise ValueError("limit must be at least 1, or None for all rows")
-    out = ranked(rows, None, order, "position")
-    out = out if limit is None else out.filter(F.col("position") < limit)
+    out = ranked(rows, None, order, "position", limit)
     qid = F.concat(F.lit(f"{name}::"), F.coalesce("source_split", F.lit("None")), F.lit("::"), F.col("position"))
-    return as_tasks(out, name, qid, ("position",))
+    return as_tasks(out, name, qid, ("position",), pool=True)
 
 
 def config_index(rows: DataFrame, config: str, split: str) -> DataFrame:
@@ -98,25 +112,41 @@ def config_index(rows: DataFrame, config: str, split: str) -> DataFrame:
     return token_index(rows.filter(F.col(split).isin("dev", "validation")).withColumn("_text", text), config, "_text")
 
 
+def split_name(c: Column) -> Column:
+    """A split's name whatever case, outer spaces and short form it is written in."""
+    name = F.lower(strip(c))
+    return F.when(name == "val", "validation").otherwise(name)
+
+
 def of_split(rows: DataFrame, split: str) -> DataFrame:
     """Rows of the split, whatever case, outer spaces and short form ``split`` has; if
     there are none, of the split's other names."""
-    name = F.lower(strip(F.col("split")))
-    return pick_split(rows.withColumn("split", F.when(name == "val", "validation").otherwise(name)), "split", split)
+    return pick_split(rows.withColumn("split", split_name(F.col("split"))), "split", split)
+
+
+def subject_rows(rows: DataFrame) -> DataFrame:
+    """Labelled rows of the configurations that are subjects; none at all is an error."""
+    names = subject_configs(rows, "config")
+    if names.isEmpty():
+        raise ValueError("no subject configurations")
+    return rows.join(names, "config", "left_semi")
 
 
-def mmlu_cais(rows: DataFrame, name: str, dataset: str, split: str | None, order: list[str], limit: int | None = None) -> DataFrame:
+def mmlu_cais(rows: DataFrame, name: str, dataset: str, split: str | None, order: list[str], limit: int | None = None, index: DataFrame | None = None) -> DataFrame:
     """Tasks of one labelled split, or for null of all three splits of rows with a
     ``split`` besides: auxiliary_train by inferred subject, dev and validation by
-    configuration. The limit and the positions are per split."""
+    configuration. The limit and the positions are per split. The token index is made of
+    the labelled rows unless it is given; a configuration without tokens is an error."""
     if split is not None:
         return labelled_pool(rows, name, dataset, split, order, limit)
     parts = {s: of_split(rows, s) for s in CAIS_SPLITS}
     labelled = {s: parts[s].filter("config IS NOT NULL") for s in ("dev", "validation")}
-    index = stored(config_index(labelled["dev"].unionByName(labelled["validation"]), "config", "split"))
-    out = unlabelled_pool(parts["auxiliary_train"].drop("split"), index, name, dataset, "auxiliary_train", order, limit).drop("score")
-    for s, part in labelled.items():
-        out = out.unionByName(labelled_pool(part.drop("split"), name, dataset, s, order, limit))
+    if index is None:
+        both = labelled["dev"].unionByName(labelled["validation"])
+        index = checked_index(stored(config_index(both, "config", "split")), both)
+    out = unlabelled_pool(parts["auxiliary_train"].drop("split"), index, name, dataset, "auxiliary_train", order, limit).drop("score").withColumn("part", F.lit(0))
+    for i, (s, part) in enumerate(labelled.items()):
+        out = out.unionByName(labelled_pool(part.drop("split"), name, dataset, s, order, limit).withColumn("part", F.lit(i + 1)))
     return out
 
 
@@ -125,7 +155,7 @@ def trivia_qa_rc(rows: DataFrame, name: str, dataset: str, split: str | None, or
     ``split`` besides. The limit and the positions are per split."""
     if split is not None:
         return trivia(rows, name, dataset, split, order, limit)
-    train, validation = (trivia(of_split(rows, s), name, dataset, s, order, limit) for s in TRIVIA_SPLITS)
+    train, validation = (trivia(of_split(rows, s), name, dataset, s, order, limit).withColumn("part", F.lit(i)) for i, s in enumerate(TRIVIA_SPLITS))
     return train.unionByName(validation)
 
 
@@ -138,7 +168,9 @@ ADAPTERS: dict[str, Callable[..., DataFrame]] = {
 
 
 def build(adapter: str, *args, **kwargs) -> DataFrame:
-    """Tasks by the adapter of that name; an unknown name is an error."""
+    """(part, position, task columns) by the adapter of that name; an unknown name is an
+    error. ``part`` numbers the splits of an adapter; rows are in order of both."""
     if adapter not in ADAPTERS:
         raise ValueError(f"unsupported adapter {adapter!r}")
-    return ADAPTERS[adapter](*args, **kwargs).select("position", *TASK_COLUMNS)
+    out = ADAPTERS[adapter](*args, **kwargs)
+    return (out if "part" in out.columns else out.withColumn("part", F.lit(0))).select("part", "position", *TASK_COLUMNS)

@@ -6,13 +6,15 @@ the plans, and serves as their oracle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taskmill.functions import answers, render
+from taskmill.functions import accessors, answers, render
 from taskmill.functions import text as tx
 from taskmill.operators import adapters, ordering, prepare, subjects
-from taskmill.runtime import stored, table
+from taskmill.runtime import shared_dir, stored, table
 from taskmill.sources import config, lines, sinks
 
 WS = tx.WS
@@ -52,8 +54,11 @@ def subject_infer(spark: SparkSession, d: str) -> DataFrame:
 
 
 def index_cache(spark: SparkSession, d: str) -> DataFrame:
-    """The token index written, read back, and listed by descending count."""
-    index = stored(subjects.token_index(table(spark, d, "documents"), "source", "text"))
+    """The token index built into a cache, then read from it, and summed up."""
+    path = f"{shared_dir(spark)}/index-{uuid.uuid4().hex}.parquet"
+    docs = table(spark, d, "documents")
+    for _ in range(2):
+        index = subjects.cached_index(spark, path, lambda: subjects.token_index(docs, "source", "text"))
     return index.groupBy("config").agg(F.sum("n").alias("total"), F.count("*").alias("tokens"), F.max_by("token", F.struct("n", "token")).alias("top_token"))
 
 
@@ -158,8 +163,51 @@ def task_scan_errors(spark: SparkSession, d: str) -> DataFrame:
 
 
 def legacy_metadata(spark: SparkSession, d: str) -> DataFrame:
+    """The benchmark name, the number of members and each member's text of the metadata."""
+    rows = lines.accepted(lines.tasks_from_lines(_lines(spark, d)))
+    return rows.select("line_id", F.get_json_object("metadata", "$.benchmark_name").alias("benchmark_name"), F.array_sort(F.json_object_keys("metadata")).alias("members"))
+
+
+def task_accessors(spark: SparkSession, d: str) -> DataFrame:
     rows = lines.accepted(lines.tasks_from_lines(_lines(spark, d)))
-    return rows.select("line_id", F.get_json_object("metadata", "$.benchmark_name").alias("benchmark_name"))
+    return rows.select("line_id", *accessors.task_accessors())
+
+
+def pool_label(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "question_pool").select("pool_key", accessors.answer_label(F.col("meta")).alias("answer_label"))
+
+
+def _two_sources(spark: SparkSession, d: str, limit: int | None) -> DataFrame:
+    """Suppliers, then customers as tasks, written as files and prepared as a merged set."""
+    root = f"{shared_dir(spark)}/prepared-{uuid.uuid4().hex}"
+    tables = {"supplier": ("s_suppkey", "s_name"), "customer": ("c_custkey", "c_name")}
+
+    def build(source: config.Source) -> DataFrame:
+        key, name = tables[source.name]
+        t = table(spark, d, source.name)
+        none = F.array().cast("array<string>")
+        return t.select(
+            F.lit(0).alias("part"), F.col(key).cast("bigint").alias("position"), F.concat(F.lit(f"{source.name}::dev::"), F.col(key)).alias("question_id"), F.lit("dev").alias("data_split"),
+            F.lit("names").alias("domain"), F.lit("open_qa").alias("question_type"), F.col(name).alias("question_text"), none.alias("choices"), F.col(key).cast("string").alias("reference_answer"),
+            F.lit(None).cast("int").alias("reference_answer_index"), none.alias("reference_aliases"), F.lit("{}").alias("metadata"),
+        )
+
+    sources = tuple(config.Source(n, "local_jsonl", "own", f"{n}_tasks.jsonl") for n in tables)
+    prepare.prepare(spark, config.DatasetConfig("names", root, "tasks.jsonl", sources), build, limit=limit)
+    return prepare.read_tasks(spark, f"{root}/tasks.jsonl").select("position", "question_id", "question_text", "reference_answer")
+
+
+def prepare_all(spark: SparkSession, d: str) -> DataFrame:
+    return _two_sources(spark, d, None)
+
+
+def prepare_limit(spark: SparkSession, d: str) -> DataFrame:
+    return _two_sources(spark, d, 150)
+
+
+def sample_records(spark: SparkSession, d: str) -> DataFrame:
+    rows = _raw_answers(spark, d).select("pool_key", "question", "choices", F.col("raw").alias("answer"), F.coalesce("kind", F.lit("null")).alias("kind"))
+    return prepare.sample_records(rows, ["pool_key"], 100, 300, "all", F.col("kind"))
 
 
 def pool_scan(spark: SparkSession, d: str) -> DataFrame:
@@ -172,11 +220,12 @@ def pool_scan(spark: SparkSession, d: str) -> DataFrame:
 
 
 def task_sink(spark: SparkSession, d: str) -> DataFrame:
-    """Tasks written as JSON lines, read back and validated; good rows."""
+    """Tasks written as files of JSON lines, read back and validated; good rows."""
     t = table(spark, d, "task_items").filter("question_text IS NOT NULL").withColumn("choices", F.coalesce("choices", F.array().cast("array<string>")))
     t = t.withColumn("reference_aliases", F.coalesce("reference_aliases", F.array().cast("array<string>")))
-    written = sinks.task_lines(t.withColumn("metadata", F.to_json(F.struct("task_key"))))
-    rows = lines.accepted(lines.tasks_from_lines(written))
+    path = f"{shared_dir(spark)}/tasks-{uuid.uuid4().hex}.jsonl"
+    sinks.write_tasks(t.withColumn("metadata", F.to_json(F.struct("task_key"))), path)
+    rows = lines.accepted(lines.tasks_from_lines(lines.read_numbered(spark, path)))
     return rows.select(F.get_json_object("metadata", "$.task_key").cast("bigint").alias("task_key"), "question_text", "choices", "reference_answer", "reference_answer_index")
 
 
@@ -195,53 +244,53 @@ def _config_of(c: str):
     return F.replace(F.lower(tx.non_blank(F.col(c))), F.lit(" "), F.lit("_"))
 
 
-def _adapter_columns(tasks: DataFrame) -> DataFrame:
-    return tasks.select("question_id", "data_split", "domain", "question_text", "choices", "reference_answer", "reference_answer_index", "reference_aliases")
+def _meta(*paths: str) -> list[Column]:
+    return [F.get_json_object("metadata", f"$.{p}").alias(f"meta_{p.rsplit('.', 1)[-1]}") for p in paths]
 
 
-def adapter_labelled(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "question_pool").filter("source_split = 'validation'").withColumn("config", _config_of("subject")).filter("config IS NOT NULL")
-    rows = p.select("pool_key", "config", "subject", "question", "choices", "answer")
-    return _adapter_columns(adapters.build("mmlu_cais", rows, "bench", "depot/bench", "validation", ["pool_key"]))
+def _adapter_columns(tasks: DataFrame, *more: str) -> DataFrame:
+    return tasks.select(
+        "question_id", "data_split", "domain", "question_text", "choices", "reference_answer", "reference_answer_index", "reference_aliases",
+        *_meta("benchmark_name", "source_dataset", "source_split", *more),
+    )
 
 
 def adapter_unlabelled(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "question_pool").withColumn("config", _config_of("subject")).filter("config IS NOT NULL")
-    index = stored(adapters.config_index(p, "config", "source_split"))
-    rows = table(spark, d, "task_items").filter("data_split = 'auxiliary_train'")
+    p = p.withColumn("split", adapters.split_name(F.col("source_split")))
+    index = stored(adapters.config_index(p, "config", "split"))
+    rows = adapters.of_split(table(spark, d, "task_items").withColumn("split", F.col("data_split")), "auxiliary_train")
     rows = rows.select("task_key", F.col("question_text").alias("question"), "choices", F.col("reference_answer").alias("answer"))
     tasks = adapters.build("mmlu_auxiliary_train", rows, index, "bench", "depot/bench", "auxiliary_train", ["task_key"])
-    return tasks.select("question_id", "domain", "question_text", "reference_answer")
-
-
-def adapter_trivia(spark: SparkSession, d: str) -> DataFrame:
-    """Train rows with a unique order key made of all their fields and a running copy number."""
-    t = table(spark, d, "trivia_rows").filter("data_split = 'train'").withColumn("key", F.to_json(F.struct("question_id", "question", "answer")))
-    copies = t.groupBy("key", "question_id", "question", "answer").agg(F.count("*").alias("n"))
-    rows = copies.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n")))).withColumn("copy", F.col("copy").cast("bigint"))
-    tasks = adapters.build("trivia_qa_rc", rows, "trivia", "depot/trivia", "train", ["key", "copy"])
-    named = tasks.filter(~F.col("question_id").startswith("trivia::"))
-    return named.select("question_id", "question_text", "reference_answer", "reference_aliases")
+    return _adapter_columns(tasks, "source_meta.source_subset", "source_meta.subject_source", "source_meta.subject_inference_score", "source_meta.source_subject_config", "source_meta.original_answer", "source_meta.answer_label")
 
 
 def adapter_cais(spark: SparkSession, d: str) -> DataFrame:
     """The whole adapter: auxiliary_train, dev and validation in all their spellings."""
     p = table(spark, d, "question_pool").withColumn("config", _config_of("subject"))
     rows = p.select("pool_key", F.col("source_split").alias("split"), "config", "subject", "question", "choices", "answer")
-    return _adapter_columns(adapters.build("mmlu_cais", rows, "bench", "depot/bench", None, ["pool_key"]))
+    tasks = adapters.build("mmlu_cais", rows, "bench", "depot/bench", None, ["pool_key"])
+    return _adapter_columns(tasks, "source_meta.source_subset", "source_meta.subject_source", "source_meta.subject_inference_score", "source_meta.source_subject_config", "source_meta.original_answer", "source_meta.answer_label")
 
 
-def adapter_trivia_all(spark: SparkSession, d: str) -> DataFrame:
-    """The whole adapter: train and validation, rows with a fallback id included."""
-    t = table(spark, d, "trivia_rows").withColumn("key", F.to_json(F.struct("question_id", "question", "answer", "data_split")))
+def adapter_trivia(spark: SparkSession, d: str) -> DataFrame:
+    """The whole adapter, rows with a fallback id included. Rows are ordered by all that
+    tells them apart and a running number of those that nothing does."""
+    a, none = F.col("answer"), F.lit("")
+    key = F.concat_ws("\x1f", F.coalesce("question_id", none), F.coalesce("question", none), F.coalesce(a["value"], none),
+                      F.array_join(F.coalesce(a["aliases"], F.array().cast("array<string>")), "|"), F.array_join(F.coalesce(a["normalized_aliases"], F.array().cast("array<string>")), "|"))
+    t = table(spark, d, "trivia_rows").withColumn("key", key)
     copies = t.groupBy("key", "question_id", "question", "answer", F.col("data_split").alias("split")).agg(F.count("*").alias("n"))
     rows = copies.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n")))).drop("n")
-    tasks = adapters.build("trivia_qa_rc", rows, "trivia", "depot/trivia", None, ["key", "copy"])
-    return tasks.select("question_id", "data_split", "question_text", "reference_answer", "reference_aliases")
+    # Rows that differ only by null and empty parts share a key; their hash parts them.
+    rows = rows.withColumn("form", F.xxhash64(F.to_json(F.struct("question_id", "question", "answer", "split"))))
+    tasks = adapters.build("trivia_qa_rc", rows, "trivia", "depot/trivia", None, ["key", "form", "copy"])
+    return tasks.select("question_id", "data_split", "question_text", "reference_answer", "reference_aliases", *_meta("benchmark_name", "source_dataset", "source_split"))
 
 
 def adapter_pool(spark: SparkSession, d: str) -> DataFrame:
-    return _adapter_columns(adapters.build("question_pool_mcq", table(spark, d, "question_pool"), "pool", ["pool_key"]))
+    tasks = adapters.build("question_pool_mcq", table(spark, d, "question_pool"), "pool", ["pool_key"])
+    return _adapter_columns(tasks, "prompt_text", "source_meta.original_answer", "source_meta.answer_label", "source_meta.subject_source")
 
 
 # Order, union, limits
@@ -293,8 +342,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         token_index, subject_infer, index_cache, text_clean, stable_id, order_key, alias_build, answer_index, answer_index_reader, sampled_answer, option_label,
-        question_render, task_scan, task_scan_errors, legacy_metadata, pool_scan, task_sink, enabled_sources, config_listing, adapter_labelled, adapter_unlabelled,
-        adapter_trivia, adapter_cais, adapter_trivia_all, adapter_pool, round_robin, round_robin_limit, union_limit, union_lazy, union_all, source_count, anti_append, slice_rows,
+        question_render, task_scan, task_scan_errors, legacy_metadata, pool_scan, task_sink, enabled_sources, config_listing, adapter_unlabelled,
+        adapter_trivia, adapter_cais, adapter_pool, task_accessors, pool_label, prepare_all, prepare_limit, sample_records, round_robin, round_robin_limit, union_limit, union_lazy, union_all, source_count, anti_append, slice_rows,
     )
 }
 
@@ -363,16 +412,54 @@ ok AS (SELECT * FROM y WHERE question_text <> '' AND reference_answer <> '' AND
   AND (question_type <> 'multiple_choice' OR (len(choices) > 0 AND reference_answer_index >= 0 AND reference_answer_index < len(choices))))
 """
 
-_ADAPTED = rf"""coalesce({_blank_null('subject')}, '') AS s, {_clean('question')} AS question_text, {_tidy('choices')} AS c, {_clean('answer')} AS r"""
-
-
-def _tasks_sql(rows: str) -> str:
+def _tasks_sql(rows: str, more: str) -> str:
     return rf"""
       SELECT question_id, data_split, domain, question_text, c AS choices, a AS reference_answer, i AS reference_answer_index,
-        CASE WHEN a <> '' THEN [a] ELSE [] END AS reference_aliases
+        CASE WHEN a <> '' THEN [a] ELSE [] END AS reference_aliases, {more}
       FROM (SELECT *, {_strip("CASE WHEN i >= 0 AND i < len(c) THEN c[i + 1] ELSE r END")} AS a FROM (SELECT *, {_index_sql('r', 'c')} AS i FROM {rows}))"""
 
 
+
+def _split(c: str) -> str:
+    return f"CASE WHEN lower({_strip(c)}) = 'val' THEN 'validation' ELSE lower({_strip(c)}) END"
+
+
+_SAMPLED = rf"""SELECT pool_key, CASE WHEN k IN ('BIGINT', 'UBIGINT') THEN CASE WHEN CAST(raw AS BIGINT) BETWEEN 0 AND len(c) - 1 THEN {_label_sql('CAST(raw AS BIGINT)')} ELSE r END
+        WHEN k <> 'VARCHAR' THEN r
+        WHEN regexp_full_match(upper(r), '[A-Z]') AND ascii(upper(r)) - 65 < len(c) THEN upper(r)
+        WHEN regexp_full_match(r, '[0-9]+') AND CAST(r AS BIGINT) < len(c) THEN {_label_sql('CAST(r AS BIGINT)')}
+        WHEN list_contains(c, r) THEN {_label_sql('(list_position(c, r) - 1)')} ELSE r END AS answer FROM q"""
+_CONFIG = f"replace(lower({_blank_null('subject')}), ' ', '_')"
+_POOL_TEXT = f"{_clean('question')} || ' ' || array_to_string({_tidy('choices')}, ' ')"
+#: Rows without subjects, by inferred subject and in round-robin order, as tasks.
+_INFERRED = rf"""
+      WITH p AS (@LABELLED@),
+      idx AS (SELECT config, token, count(*) AS n FROM (SELECT config, unnest(regexp_extract_all(lower(t), '[a-z][a-z0-9_+-]{{2,}}')) AS token FROM p WHERE config IS NOT NULL) WHERE token NOT IN ({_STOP}) GROUP BY ALL),
+      q AS (@ROWS@),
+      tok AS (SELECT DISTINCT id, unnest(regexp_extract_all(lower(question_text || ' ' || array_to_string(c, ' ')), '[a-z][a-z0-9_+-]{{2,}}')) AS token FROM q),
+      s AS (SELECT id, config, sum(n) AS score FROM tok JOIN idx USING (token) GROUP BY ALL),
+      b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, config) = 1),
+      g AS (SELECT q.*, config, score, coalesce(CASE WHEN config IS NOT NULL THEN coalesce(nullif({_strip("replace(config, '_', ' ')")}, ''), 'bench') END, 'general knowledge') AS domain, coalesce(config, 'general knowledge') AS grp FROM q LEFT JOIN b USING (id)),
+      o AS (SELECT *, row_number() OVER (ORDER BY rn, grp) - 1 AS pos FROM (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY id) AS rn FROM g)),
+      oi AS (SELECT *, {_index_sql('r', 'c')} AS i FROM o),
+      oa AS (SELECT *, {_strip("CASE WHEN i >= 0 AND i < len(c) THEN c[i + 1] ELSE r END")} AS a FROM oi),
+      built AS (SELECT 'bench::auxiliary_train::' || pos AS question_id, 'auxiliary_train' AS data_split, domain, question_text, c AS choices, a AS reference_answer, i AS reference_answer_index,
+        CASE WHEN a <> '' THEN [a] ELSE [] END AS reference_aliases, 'bench' AS meta_benchmark_name, 'depot/bench' AS meta_source_dataset, 'auxiliary_train' AS meta_source_split, 'all' AS meta_source_subset,
+        CASE WHEN config IS NULL THEN 'fallback_default' ELSE 'inferred_from_labeled_splits' END AS meta_subject_source, CAST(CAST(coalesce(score, 0) AS BIGINT) AS VARCHAR) AS meta_subject_inference_score,
+        config AS meta_source_subject_config, raw AS meta_original_answer, CASE WHEN i >= 0 AND i < 26 THEN chr(CAST(65 + i AS INT)) END AS meta_answer_label FROM oa)
+      """
+
+
+def _inferred(labelled: str, rows: str) -> str:
+    return _INFERRED.replace("@LABELLED@", labelled).replace("@ROWS@", rows)
+
+
+_PREPARED = """
+      SELECT position, question_id, question_text, reference_answer FROM (
+        SELECT row_number() OVER (ORDER BY s_suppkey) - 1 AS position, 'supplier::dev::' || s_suppkey AS question_id, s_name AS question_text, CAST(s_suppkey AS VARCHAR) AS reference_answer FROM supplier
+        UNION ALL SELECT (SELECT count(*) FROM supplier) + row_number() OVER (ORDER BY c_custkey) - 1, 'customer::dev::' || c_custkey, c_name, CAST(c_custkey AS VARCHAR) FROM customer)"""
+
+
 SQL = {
     "token_index": _TOKENS + "SELECT config, token, n FROM idx",
     "subject_infer": _TOKENS
@@ -396,12 +483,7 @@ SQL = {
       SELECT task_key, CASE WHEN len(c) = 0 THEN NULL WHEN reference_answer_index IS NOT NULL THEN reference_answer_index
         WHEN list_contains(c, r) THEN list_position(c, r) - 1 END AS answer_index
       FROM (SELECT *, {_clean_list('choices')} AS c, {_clean('reference_answer')} AS r FROM task_items)""",
-    "sampled_answer": _RAW
-    + rf"""SELECT pool_key, CASE WHEN k IN ('BIGINT', 'UBIGINT') THEN CASE WHEN CAST(raw AS BIGINT) BETWEEN 0 AND len(c) - 1 THEN {_label_sql('CAST(raw AS BIGINT)')} ELSE r END
-        WHEN k <> 'VARCHAR' THEN r
-        WHEN regexp_full_match(upper(r), '[A-Z]') AND ascii(upper(r)) - 65 < len(c) THEN upper(r)
-        WHEN regexp_full_match(r, '[0-9]+') AND CAST(r AS BIGINT) < len(c) THEN {_label_sql('CAST(r AS BIGINT)')}
-        WHEN list_contains(c, r) THEN {_label_sql('(list_position(c, r) - 1)')} ELSE r END AS answer FROM q""",
+    "sampled_answer": _RAW + _SAMPLED,
     "option_label": f"SELECT p_partkey, {_label_sql('(p_partkey - 1)')} AS label FROM part",
     "question_render": rf"""
       SELECT pool_key, CASE WHEN len(c) > 0 THEN {_strip(f"'Subject: ' || s || chr(10) || chr(10) || 'Question:' || chr(10) || q || chr(10) || chr(10) || 'Options:' || chr(10) || {_OPTION_LINES}")} ELSE q END AS adapter_prompt,
@@ -410,7 +492,8 @@ SQL = {
       FROM (SELECT *, {_tidy('choices')} AS c, {_clean('subject')} AS s, {_clean('question')} AS q FROM question_pool)""",
     "task_scan": _SCAN + "SELECT line_id, question_id, data_split, domain, question_type, question_text, choices, reference_answer, reference_answer_index, reference_aliases FROM ok",
     "legacy_metadata": _SCAN
-    + rf"""SELECT line_id, CASE WHEN raw_json ->> '$.contract' = 'world_question_v1' THEN coalesce({_blank_null("raw_json ->> '$.benchmark_name'")}, raw_json ->> '$.metadata.benchmark_name') ELSE raw_json ->> '$.metadata.benchmark_name' END AS benchmark_name FROM ok""",
+    + rf"""SELECT line_id, CASE WHEN raw_json ->> '$.contract' = 'world_question_v1' THEN coalesce({_blank_null("raw_json ->> '$.benchmark_name'")}, raw_json ->> '$.metadata.benchmark_name') ELSE raw_json ->> '$.metadata.benchmark_name' END AS benchmark_name,
+      list_sort(list_distinct(list_concat(coalesce(json_keys(raw_json, '$.metadata'), []), CASE WHEN raw_json ->> '$.contract' = 'world_question_v1' THEN ['benchmark_name'] ELSE [] END))) AS members FROM ok""",
     "pool_scan": """
       SELECT pool_key, source_dataset, source_split, subject, question, choices, answer, answer_index, prompt_text FROM question_pool
       WHERE source_dataset IS NOT NULL AND source_split IS NOT NULL AND subject IS NOT NULL AND question IS NOT NULL AND answer IS NOT NULL AND prompt_text IS NOT NULL
@@ -425,32 +508,46 @@ SQL = {
       SELECT source_pos, source_name, provider, adapter, CASE WHEN provider = 'local_jsonl' THEN local_path ELSE repo_id END AS location,
         source_name || '_tasks.jsonl' AS output_file, coalesce(merge_into_world, true) AS merge_into_world FROM dataset_sources WHERE coalesce(enabled, true)""",
     "config_listing": "SELECT DISTINCT subject AS config FROM question_pool WHERE subject IS NOT NULL AND subject NOT IN ('all', 'auxiliary_train')",
-    "adapter_labelled": _tasks_sql(rf"""(
-      SELECT *, 'bench::validation::' || (row_number() OVER (ORDER BY rn, config) - 1) AS question_id, 'validation' AS data_split, coalesce({_blank_null('sub')}, 'bench') AS domain
-      FROM (SELECT *, row_number() OVER (PARTITION BY config ORDER BY pool_key) AS rn FROM (
-        SELECT pool_key, {_ADAPTED}, replace(lower({_blank_null('subject')}), ' ', '_') AS config, {_clean("replace(subject, '_', ' ')")} AS sub FROM question_pool WHERE source_split = 'validation')
-      WHERE config IS NOT NULL))"""),
-    "adapter_unlabelled": rf"""
-      WITH p AS (SELECT replace(lower({_blank_null('subject')}), ' ', '_') AS config, {_clean('question')} || CASE WHEN len({_tidy('choices')}) > 0 THEN ' ' || array_to_string({_tidy('choices')}, ' ') ELSE ' ' END AS t
-        FROM question_pool WHERE source_split IN ('dev', 'validation')),
-      idx AS (SELECT config, token, count(*) AS n FROM (SELECT config, unnest(regexp_extract_all(lower(t), '[a-z][a-z0-9_+-]{{2,}}')) AS token FROM p WHERE config IS NOT NULL) WHERE token NOT IN ({_STOP}) GROUP BY ALL),
-      q AS (SELECT task_key, {_clean('question_text')} AS question_text, {_tidy('choices')} AS c, {_clean('reference_answer')} AS r FROM task_items WHERE data_split = 'auxiliary_train'),
-      tok AS (SELECT DISTINCT task_key, unnest(regexp_extract_all(lower(question_text || ' ' || array_to_string(c, ' ')), '[a-z][a-z0-9_+-]{{2,}}')) AS token FROM q),
-      s AS (SELECT task_key, config, sum(n) AS score FROM tok JOIN idx USING (token) GROUP BY ALL),
-      b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY task_key ORDER BY score DESC, config) = 1),
-      g AS (SELECT q.*, coalesce(CASE WHEN config IS NOT NULL THEN coalesce(nullif({_strip("replace(config, '_', ' ')")}, ''), 'bench') END, 'general knowledge') AS domain, coalesce(config, 'general knowledge') AS grp FROM q LEFT JOIN b USING (task_key)),
-      o AS (SELECT *, row_number() OVER (ORDER BY rn, grp) - 1 AS pos FROM (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY task_key) AS rn FROM g))
-      SELECT 'bench::auxiliary_train::' || pos AS question_id, domain, question_text, {_strip("CASE WHEN i >= 0 AND i < len(c) THEN c[i + 1] ELSE r END")} AS reference_answer
-      FROM (SELECT *, {_index_sql('r', 'c')} AS i FROM o)""",
+    "adapter_unlabelled": _inferred(
+        labelled=f"SELECT {_CONFIG} AS config, {_POOL_TEXT} AS t FROM question_pool WHERE {_split('source_split')} IN ('dev', 'validation')",
+        rows=f"SELECT task_key AS id, {_clean('question_text')} AS question_text, {_tidy('choices')} AS c, reference_answer AS raw, {_clean('reference_answer')} AS r FROM task_items WHERE {_split('data_split')} = 'auxiliary_train'",
+    ) + "SELECT * FROM built",
+    "adapter_cais": _inferred(
+        labelled=f"SELECT {_CONFIG} AS config, {_POOL_TEXT} AS t FROM question_pool WHERE {_split('source_split')} IN ('dev', 'validation')",
+        rows=f"SELECT pool_key AS id, {_clean('question')} AS question_text, {_tidy('choices')} AS c, answer AS raw, {_clean('answer')} AS r FROM question_pool WHERE {_split('source_split')} = 'auxiliary_train'",
+    ) + rf""", l AS (
+        SELECT pool_key AS id, {_split('source_split')} AS s, {_CONFIG} AS config, {_blank_null("replace(subject, '_', ' ')")} AS sub, {_clean('question')} AS question_text, {_tidy('choices')} AS c, answer AS raw, {_clean('answer')} AS r
+        FROM question_pool WHERE {_split('source_split')} IN ('dev', 'validation') AND {_CONFIG} IS NOT NULL),
+      lo AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY rn, config) - 1 AS pos FROM (SELECT *, row_number() OVER (PARTITION BY s, config ORDER BY id) AS rn FROM l)),
+      li AS (SELECT *, {_index_sql('r', 'c')} AS i FROM lo),
+      la AS (SELECT *, {_strip("CASE WHEN i >= 0 AND i < len(c) THEN c[i + 1] ELSE r END")} AS a FROM li)
+      SELECT * FROM built UNION ALL BY NAME
+      SELECT 'bench::' || s || '::' || pos AS question_id, s AS data_split, coalesce(sub, nullif({_strip("replace(config, '_', ' ')")}, ''), 'bench') AS domain, question_text, c AS choices, a AS reference_answer, i AS reference_answer_index,
+        CASE WHEN a <> '' THEN [a] ELSE [] END AS reference_aliases, 'bench' AS meta_benchmark_name, 'depot/bench' AS meta_source_dataset, s AS meta_source_split, config AS meta_source_subset,
+        CAST(NULL AS VARCHAR) AS meta_subject_source, CAST(NULL AS VARCHAR) AS meta_subject_inference_score, config AS meta_source_subject_config, raw AS meta_original_answer,
+        CASE WHEN i >= 0 AND i < 26 THEN chr(CAST(65 + i AS INT)) END AS meta_answer_label FROM la""",
     "adapter_pool": _tasks_sql(rf"""(
       SELECT 'pool::' || coalesce(source_split, 'None') || '::' || (row_number() OVER (ORDER BY pool_key) - 1) AS question_id, coalesce({_blank_null('source_split')}, 'train') AS data_split,
-        coalesce(replace({_blank_null('subject')}, '_', ' '), 'pool') AS domain, {_clean('question')} AS question_text, choices AS c, answer AS r, answer_index FROM question_pool)""").replace(
+        coalesce(replace({_blank_null('subject')}, '_', ' '), 'pool') AS domain, {_clean('question')} AS question_text, choices AS c, answer AS r, answer_index,
+        source_dataset, source_split, prompt_text, meta FROM question_pool)""", "'pool' AS meta_benchmark_name, source_dataset AS meta_source_dataset, source_split AS meta_source_split, prompt_text AS meta_prompt_text, "
+        "meta ->> '$.original_answer' AS meta_original_answer, meta ->> '$.answer_label' AS meta_answer_label, meta ->> '$.subject_source' AS meta_subject_source").replace(
         _index_sql("r", "c") + " AS i", "answer_index AS i").replace("CASE WHEN i >= 0 AND i < len(c) THEN c[i + 1] ELSE r END", "coalesce(r, '')"),
     "adapter_trivia": rf"""
-      SELECT question_id, question_text, v AS reference_answer, CASE WHEN v <> '' AND NOT list_contains(l, v) THEN list_prepend(v, l) ELSE l END AS reference_aliases FROM (
-        SELECT {_strip('question_id')} AS question_id, {_clean('question')} AS question_text, {_clean('answer.value')} AS v,
-          list_concat({_clean_list('answer.aliases')}, {_clean_list('answer.normalized_aliases')}) AS l FROM trivia_rows WHERE data_split = 'train' AND question_id IS NOT NULL AND question_id <> '')
-      WHERE v <> ''""",
+      WITH t AS (SELECT *, {_split('data_split')} AS s, concat_ws(chr(31), coalesce(question_id, ''), coalesce(question, ''), coalesce(answer.value, ''),
+          coalesce(array_to_string(answer.aliases, '|'), ''), coalesce(array_to_string(answer.normalized_aliases, '|'), '')) AS k FROM trivia_rows),
+      p AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY k) - 1 AS pos, {_clean('answer.value')} AS v, list_concat({_clean_list('answer.aliases')}, {_clean_list('answer.normalized_aliases')}) AS l
+        FROM t WHERE s IN ('train', 'validation'))
+      SELECT {_strip("coalesce(nullif(question_id, ''), 'trivia::' || s || '::' || pos)")} AS question_id, s AS data_split, {_clean('question')} AS question_text, v AS reference_answer,
+        CASE WHEN NOT list_contains(l, v) THEN list_prepend(v, l) ELSE l END AS reference_aliases, 'trivia' AS meta_benchmark_name, 'depot/trivia' AS meta_source_dataset, s AS meta_source_split
+      FROM p WHERE v <> ''""",
+    "task_accessors": _SCAN + "SELECT line_id, question_id AS seed_id, question_text AS question, reference_answer AS answer, reference_answer_index AS answer_index, reference_aliases AS answer_aliases FROM ok",
+    "pool_label": "SELECT pool_key, CASE WHEN json_type(meta, '$.answer_label') = 'VARCHAR' THEN nullif(meta ->> '$.answer_label', '') END AS answer_label FROM question_pool",
+    "prepare_all": _PREPARED,
+    "prepare_limit": _PREPARED + " WHERE position < 150",
+    "sample_records": _RAW
+    + rf"""SELECT printf('mmlu_%06d', n) AS sample_id, 'all' AS subject, question, c AS choices, answer FROM (
+        SELECT row_number() OVER (ORDER BY pool_key) - 1 AS n, {_clean('question')} AS question, c, answer FROM ({_SAMPLED}) JOIN (SELECT pool_key, question FROM question_pool) USING (pool_key) JOIN (SELECT pool_key, c FROM q) USING (pool_key))
+      WHERE n BETWEEN 100 AND 399""",
     "round_robin": """
       SELECT doc_id, source, position, source || '::' || position AS positional_id FROM (
         SELECT doc_id, source, row_number() OVER (ORDER BY rn, source NULLS FIRST) - 1 AS position FROM (

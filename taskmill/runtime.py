@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+#: Stored tables of one application lie in one folder, so that they can go together.
+STORED = "taskmill-stored-"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,11 +50,31 @@ def stored(df: DataFrame) -> DataFrame:
     Like :func:`cut`, for rows that several later scans read in part: the scans
     prune columns, which a checkpoint cannot.
     """
-    path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}.parquet"
+    path = f"{shared_dir(df.sparkSession)}/{STORED}{df.sparkSession.sparkContext.applicationId}/{uuid.uuid4().hex}.parquet"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear_stored(spark: SparkSession) -> None:
+    """Deletes the tables that :func:`stored` has written for this application. Results that
+    still have to read them must have been written or collected before."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{STORED}{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the file or folder exists, on whatever file system the path names."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether the file or folder exists and holds at least one byte."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(hadoop) and fs.getContentSummary(hadoop).getLength() > 0
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

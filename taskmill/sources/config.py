@@ -6,9 +6,11 @@ import os
 import tomllib
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from taskmill.runtime import exists
+
 # Other names of a split, tried in order.
 SPLIT_NAMES = {"auxiliary_train": ["auxiliary_train", "train"], "validation": ["validation", "val"]}
 NO_SUBJECT_CONFIGS = ["all", "auxiliary_train"]
@@ -88,9 +90,13 @@ def load_folder(root: str) -> DatasetConfig:
 
 
 def resolve_path(root: str, path: str) -> str:
-    """An absolute path as it is, one below the root if that exists, else as given."""
+    """An absolute path or URI as it is, one below the root if that exists, else as given."""
+    spark = SparkSession.getActiveSession()
+    there = os.path.exists if spark is None else lambda p: exists(spark, p)
+    if os.path.isabs(path) or "://" in path:
+        return path
     below = os.path.join(root, path)
-    return below if not os.path.isabs(path) and os.path.exists(below) else path
+    return below if there(below) else path
 
 
 def split_names(split: str) -> list[str]:

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from taskmill.functions import answers
 from taskmill.functions.answers import schema_index
 from taskmill.functions.text import clean_list, non_blank, stable_id, strip
 from taskmill.sources.schema import BENCHMARK_CONTRACT, CONTRACTS, KEYS, QUESTION_TYPES, TASK_COLUMNS
@@ -20,6 +22,32 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("lineSep", "\n").text(path).select(F.col("value").alias("line"), F.input_file_name().alias("source_file"))
 
 
+def read_numbered(spark: SparkSession, path: str) -> DataFrame:
+    """(line, source_file, line_no, row_pos): lines with their number in the file, from 1,
+    and their position in all files by name, from 0.
+
+    A file may be read in several blocks: numbers are those inside the block plus
+    the lines of the blocks before, of which there is one small row each.
+    """
+    meta = F.col("_metadata")
+    rows = spark.read.option("lineSep", "\n").text(path)
+    rows = rows.select(F.col("value").alias("line"), meta["file_path"].alias("source_file"), meta["file_block_start"].alias("_block"), F.monotonically_increasing_id().alias("_at"))
+    blocks = rows.groupBy("source_file", "_block").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    of_file = F.sum("_n").over(Window.partitionBy("source_file").orderBy("_block")) - F.col("_n")
+    of_all = F.sum("_n").over(Window.orderBy("source_file", "_block")) - F.col("_n")
+    blocks = blocks.select("source_file", "_block", "_first", of_file.alias("_in_file"), of_all.alias("_in_all"))
+    out = rows.join(blocks, ["source_file", "_block"])
+    inside = F.col("_at") - F.col("_first")
+    return out.select("line", "source_file", (F.col("_in_file") + inside + 1).alias("line_no"), (F.col("_in_all") + inside).alias("row_pos"))
+
+
+def _placed(error: Column, columns: list[str]) -> Column:
+    """The error with the number of its line, where lines are numbered."""
+    if "line_no" not in columns:
+        return error
+    return F.when(error.isNotNull(), F.concat(F.lit("line "), F.col("line_no").cast("string"), F.lit(": "), error))
+
+
 def read_lines_if_any(spark: SparkSession, path: str) -> DataFrame:
     """Like :func:`read_lines`, without rows where the path does not exist."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -57,8 +85,10 @@ class _Row:
 
 def _text(v: Column) -> Column:
     """A scalar as Python would print it, stripped; null for JSON null."""
-    s = F.try_variant_get(v, "$", "string")
-    return strip(F.when(F.schema_of_variant(v) == "BOOLEAN", F.initcap(s)).otherwise(s))
+    s, kind = F.try_variant_get(v, "$", "string"), F.schema_of_variant(v)
+    # A variant drops the zeros of 1.0, but keeps it apart from 1.
+    integral = kind.startswith("DECIMAL") & ~s.contains(".")
+    return strip(F.when(kind == "BOOLEAN", F.initcap(s)).when(integral, F.concat(s, F.lit(".0"))).otherwise(s))
 
 
 def _strings(v: Column) -> Column:
@@ -109,17 +139,18 @@ def tasks_from_lines(lines: DataFrame, col: str = "line") -> DataFrame:
         F.coalesce(non_blank(text("domain")), F.lit("unknown")).alias("domain"),
         F.coalesce(*[non_blank(text(k)) for k in ("question_id", "seed_id", "id")]).alias("_id"),
         non_blank(text("benchmark_name")).alias("_benchmark"),
-        F.coalesce(F.to_json("_m_metadata"), F.lit("{}")).alias("_meta"),
+        F.coalesce(F.to_json("_m_metadata"), F.lit("{}")).alias("_meta"), "_m_metadata",
     )
     qt = F.when(F.col("_named") != "", F.col("_named")).when(F.size("choices") > 0, QUESTION_TYPES[0]).otherwise(QUESTION_TYPES[1])
     rows = rows.withColumn("question_type", qt)
     index = schema_index(F.col("reference_answer"), F.col("_index"), F.col("choices"), F.col("_index_kind"))
     rows = rows.withColumn("reference_answer_index", index)
     rows = rows.withColumn("question_id", F.coalesce("_id", stable_id("task", F.col("question_text"), F.col("reference_answer"))))
-    tag = F.to_json(F.named_struct(F.lit("benchmark_name"), F.coalesce("_benchmark", F.get_json_object("_meta", "$.benchmark_name"))), {"ignoreNullFields": "false"})
-    rest = F.from_json("_meta", "map<string,string>")
-    merged = F.when(F.size(F.map_filter(rest, lambda k, v: k != "benchmark_name")) > 0, F.concat(F.expr("rtrim('}', _meta)"), F.lit(","), F.expr("substring(_tag, 2)"))).otherwise(F.col("_tag"))
-    rows = rows.withColumn("_tag", tag)
+    given = F.coalesce(F.try_variant_get("_m_metadata", "$", "map<string,variant>"), F.try_variant_get(F.parse_json(F.lit("{}")), "$", "map<string,variant>"))
+    # The row's own benchmark name replaces that of its metadata; without either it is null.
+    own = F.when(F.col("_benchmark").isNotNull(), F.try_parse_json(F.to_json(F.array("_benchmark"))))
+    name = F.coalesce(F.variant_get(own, "$[0]", "variant"), F.get(F.map_values(F.map_filter(given, lambda k, v: k == "benchmark_name")), F.lit(0)), F.parse_json(F.lit("null")))
+    merged = F.to_json(F.map_concat(F.map_filter(given, lambda k, v: k != "benchmark_name"), F.create_map(F.lit("benchmark_name"), name)))
     rows = rows.withColumn("metadata", F.when(F.col("_contract") == BENCHMARK_CONTRACT, merged).otherwise(F.col("_meta")))
     i = F.col("reference_answer_index")
     bad_index = i.isNull() | (i < 0) | (i >= F.size("choices"))
@@ -137,7 +168,12 @@ def tasks_from_lines(lines: DataFrame, col: str = "line") -> DataFrame:
         .when(F.coalesce("_meta_kind", F.lit("object")) != "object", "metadata is no object")
         .when(~F.coalesce("_aliases_kind", F.lit("null")).isin("array", "null"), "aliases is no list")
     )
-    return _whole(rows.select(*lines.columns, *TASK_COLUMNS, error.alias("error")))
+    return _whole(rows.select(*lines.columns, *TASK_COLUMNS, _placed(error, lines.columns).alias("error")))
+
+
+def _index(v: Column) -> Column:
+    text = F.try_variant_get(v, "$", "string")
+    return F.when(text == "true", 1).when(text == "false", 0).otherwise(answers.whole(text))
 
 
 def pool_from_lines(lines: DataFrame, col: str = "line") -> DataFrame:
@@ -160,10 +196,10 @@ def pool_from_lines(lines: DataFrame, col: str = "line") -> DataFrame:
         *[F.try_variant_get(members[k], "$", "string").alias(k) for k in texts[:4]],
         F.try_variant_get(members["choices"], "$", "array<string>").alias("choices"),
         F.try_variant_get(members["answer"], "$", "string").alias("answer"),
-        F.try_variant_get(members["answer_index"], "$", "int").alias("answer_index"),
+        F.when(F.coalesce(whole, F.lit(False)), _index(members["answer_index"])).alias("answer_index"),
         F.try_variant_get(members["prompt_text"], "$", "string").alias("prompt_text"),
         F.to_json(members["meta"]).alias("meta"),
-        error.alias("error"),
+        _placed(error, lines.columns).alias("error"),
     ))
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 import json
 import os
 import tempfile
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from taskmill.sources.schema import TASK_COLUMNS
@@ -15,13 +16,17 @@ from taskmill.sources.schema import TASK_COLUMNS
 def task_lines(tasks: DataFrame) -> DataFrame:
     """(line): one JSON object a task, keys in the writer's order, metadata as an object."""
     plain = F.to_json(F.struct(*[c for c in TASK_COLUMNS if c != "metadata"]), {"ignoreNullFields": "false"})
-    return tasks.select(F.concat(F.expr("substring(_j, 1, length(_j) - 1)"), F.lit(',"metadata":'), F.coalesce("metadata", F.lit("{}")), F.lit("}")).alias("line")) if "_j" in tasks.columns else task_lines(tasks.withColumn("_j", plain))
+    head = F.regexp_replace(plain, r"\}\z", "")
+    return tasks.select(F.concat(head, F.lit(',"metadata":'), F.coalesce("metadata", F.lit("{}")), F.lit("}")).alias("line"))
 
 
-def write_tasks(tasks: DataFrame, path: str, mode: str = "overwrite") -> int:
-    """Writes JSON lines below ``path`` and returns the number of rows."""
-    task_lines(tasks).write.mode(mode).text(path)
-    return tasks.sparkSession.read.text(path).count()
+def write_tasks(tasks: DataFrame, path: str, mode: str = "overwrite", order: Sequence[str] = ()) -> int:
+    """Writes JSON lines below ``path`` and returns the number of rows, which are counted as
+    they are written. With ``order`` the rows lie in that order in the files by name."""
+    seen = Observation()
+    counted = (tasks.orderBy(*order) if order else tasks).observe(seen, F.count(F.lit(1)).alias("rows"))
+    task_lines(counted).write.mode(mode).text(path)
+    return seen.get["rows"]
 
 
 def append_new(samples: DataFrame, existing: DataFrame, key: str) -> DataFrame:

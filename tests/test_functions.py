@@ -42,7 +42,7 @@ def test_trivia_aliases(spark):
 
 @pytest.mark.parametrize(
     "raw,kind,want",
-    [("2", "string", 2), ("b", "string", 1), ("yes", "string", 0), ("no", "string", None), ("7", "number", 7), ("1.0", "number", 1), ("1.5", "number", None), ("true", "boolean", None), (None, "null", None), ("", "string", None)],
+    [("2", "string", 2), ("b", "string", 1), ("yes", "string", 0), ("no", "string", None), ("7", "number", 7), ("1.0", "number", 1), ("1.5", "number", None), ("20000000000", "string", (1 << 31) - 1), ("-" + "9" * 30, "number", -(1 << 31)), ("9" * 50 + ".0", "number", (1 << 31) - 1), ("true", "boolean", None), (None, "null", None), ("", "string", None)],
 )
 def test_adapter_index(spark, raw, kind, want):
     c = F.array(F.lit("yes"), F.lit("x"))

@@ -48,6 +48,13 @@ def test_reader_keys_absent_and_null(spark):
     assert got[6]["error"] == "not JSON" and got[7]["error"] == "not an object"
     assert got[8]["reference_answer"] == "True" and got[8]["question_id"] == "7" and got[8]["data_split"] == "train"
     assert json.loads(got[9]["metadata"]) == {"x": 1, "benchmark_name": "bb"}
+    deep = {"x": {"y": 1, "z": [{"w": None}]}, "benchmark_name": "old", "s": "}}"}
+    row = {"contract": "world_question_v1", "question": "q", "answer": "a", "metadata": deep}
+    more = read(spark, row | {"benchmark_name": 'b"n'}, row, row | {"metadata": {}}, {"question": "q", "answer": 1.0}, {"question": "q", "answer": 2.5}, {"question": 12, "answer": False},
+                {"question": "q", **mc, "answer_index": 20_000_000_000}, {"question": "q", **mc, "answer_index": "9" * 40}, {"question": "q", **mc, "answer_index": -(10**15)})
+    assert [json.loads(more[i]["metadata"]) for i in range(3)] == [deep | {"benchmark_name": 'b"n'}, deep, {"benchmark_name": None}]
+    assert [more[i]["reference_answer"] for i in (3, 4, 5)] == ["1.0", "2.5", "False"] and more[5]["question_text"] == "12"
+    assert {more[i]["error"] for i in (6, 7, 8)} == {"multiple_choice without a valid index"}
     assert got[10]["error"] == "unsupported contract" and got[11]["error"] == "metadata is no object" and got[12]["error"] == "choices is no list"
     assert got[13]["question_type"] == "open_qa" and got[0]["question_id"].startswith("task::")
 
@@ -67,6 +74,23 @@ def test_pool_reader(spark):
     assert got == {0: None, 1: "invalid choices", 2: "invalid answer_index", 3: "invalid meta", 4: "missing string field subject", 5: None}
 
 
+def test_line_numbers_over_files_and_blocks(spark, tmp_path):
+    good = json.dumps({"question": "q", "answer": "a"})
+    (tmp_path / "b.jsonl").write_text("\n".join([good, "", "{broken", good]) + "\n")
+    (tmp_path / "a.jsonl").write_text("".join(f"{good}\n" for _ in range(500)) + "[1]\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")  # many blocks a file
+    try:
+        rows = lines.read_numbered(spark, str(tmp_path))
+        got = [(r["source_file"][-7:], r["line_no"], r["row_pos"]) for r in rows.orderBy("row_pos").collect()]
+        errors = {r["error"] for r in lines.tasks_from_lines(rows).filter("error IS NOT NULL").collect()}
+        pool = {r["error"] for r in lines.pool_from_lines(rows).filter("error LIKE '%not JSON' OR error LIKE '%object'").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == [("a.jsonl", i + 1, i) for i in range(501)] + [("b.jsonl", i + 1, 501 + i) for i in range(4)]
+    assert errors == pool == {"line 501: not an object", "line 3: not JSON"}
+
+
 def test_config(tmp_path):
     path = tmp_path / "set.toml"
     path.write_text(TOML)
@@ -130,7 +154,7 @@ def test_prepare_reuse_and_append(spark, tmp_path):
 
     def build(source):
         built.append(source.name)
-        return lines.accepted(lines.tasks_from_lines(spark.createDataFrame([(line,)], "line string"))).select(*TASK_COLUMNS)
+        return lines.accepted(lines.tasks_from_lines(spark.createDataFrame([(line,)], "line string"))).select(F.lit(0).alias("part"), F.lit(0).alias("position"), *TASK_COLUMNS)
 
     assert prepare.prepare(spark, c, build) == {"one": 1}
     assert prepare.prepare(spark, c, build, limit=1) == {"one": 1} and built == ["one"]
@@ -157,13 +181,13 @@ def test_entry_registers_queries_with_sql():
 
 def test_adapters_of_all_splits(spark):
     rows = spark.createDataFrame(
-        [(1, "validation", "c1", "q1", "a"), (2, " VAL ", "c1", "q2", "a"), (3, "dev", "c0", "tide moon", "a"), (4, "Auxiliary_Train ", None, "tide", "a"), (5, "auxiliary_train", None, "zzz", "a"), (6, "train", "c1", "q6", "a"), (7, None, "c1", "q7", "a")],
+        [(1, "validation", "c1", "coral", "a"), (2, " VAL ", "c1", "q2", "a"), (3, "dev", "c0", "tide moon", "a"), (4, "Auxiliary_Train ", None, "tide", "a"), (5, "auxiliary_train", None, "zzz", "a"), (6, "train", "c1", "q6", "a"), (7, None, "c1", "q7", "a")],
         "k int, split string, config string, question string, answer string",
     ).withColumns({"subject": F.col("config"), "choices": F.array(F.lit("a"), F.lit("b"))})
     got = {r["question_id"]: (r["question_text"], r["data_split"], r["domain"]) for r in adapters.build("mmlu_cais", rows, "n", "d", None, ["k"]).collect()}
     assert got == {
         "n::auxiliary_train::0": ("tide", "auxiliary_train", "c0"), "n::auxiliary_train::1": ("zzz", "auxiliary_train", "general knowledge"),
-        "n::dev::0": ("tide moon", "dev", "c0"), "n::validation::0": ("q1", "validation", "c1"), "n::validation::1": ("q2", "validation", "c1"),
+        "n::dev::0": ("tide moon", "dev", "c0"), "n::validation::0": ("coral", "validation", "c1"), "n::validation::1": ("q2", "validation", "c1"),
     }
     assert adapters.build("mmlu_cais", rows, "n", "d", None, ["k"], 1).count() == 3
     t = spark.createDataFrame(
@@ -175,11 +199,101 @@ def test_adapters_of_all_splits(spark):
     assert adapters.build("trivia_qa_rc", t, "n", "d", None, ["k"], 1).count() == 2
 
 
-def test_whole_trivia_query_holds_the_query_of_named_train_rows(spark):
-    from taskmill.plans.queries import QUERIES
+COMMAND = """
+[[sources]]
+name = "pool"
+provider = "local_jsonl"
+adapter = "question_pool_mcq"
+[sources.local_jsonl]
+path = "pool.jsonl"
+[[sources]]
+name = "bench"
+provider = "huggingface"
+adapter = "mmlu_cais"
+[sources.huggingface]
+repo_id = "depot/bench"
+[[sources]]
+name = "quiz"
+provider = "huggingface"
+adapter = "trivia_qa_rc"
+[sources.huggingface]
+repo_id = "depot/quiz"
+"""
+
+
+def dataset(spark, root):
+    pool = {"source_dataset": "d", "source_split": "dev", "subject": "s_s", "choices": ["a", "b"], "answer": "a", "answer_index": 0, "prompt_text": "p", "meta": {"k": {"n": None}}}
+    root.mkdir(parents=True)
+    (root / "pool.jsonl").write_text("".join(json.dumps(pool | {"question": f"q{i}"}) + "\n" for i in range(25)))
+    bench, quiz = root / "depot" / "bench", root / "depot" / "quiz"
+    mmlu = "config string, subject string, question string, choices array<string>, answer string"
+    def save(rows, schema, path):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(path))
+    save([("all", None, f"tide {i}", ["a", "b"], "b") for i in range(3)], mmlu, bench / "train.parquet")  # the other name of auxiliary_train
+    save([("sea", "sea", "tide tide", ["x"], "0"), ("sky", None, "star", ["x", "y"], "B"), ("all", None, "none", ["x"], "x")], mmlu, bench / "dev.parquet")
+    save([("sea", None, "moon", ["x"], "a")], mmlu, bench / "val.parquet")
+    for split in ("train", "validation"):
+        (quiz).mkdir(exist_ok=True)
+        (quiz / f"{split}.jsonl").write_text("\n".join(json.dumps({"question": f"{split}{i}", "question_id": None, "answer": None if i == 1 else {"value": "v", "aliases": ["w"]}}) for i in range(3)) + "\n")
+    (root / "set.toml").write_text(COMMAND)
+
+
+def test_prepare_command(spark, tmp_path, capsys):
+    root = tmp_path / "set"
+    dataset(spark, root)
+    args = ["--dataset-config-path", str(root / "set.toml"), "--dataset-root", str(root)]
+    assert prepare.main(args, spark) == {"pool": 25, "bench": 6, "quiz": 4}
+    out = capsys.readouterr().out
+    assert f"rows_written=35\noutput_path={root}/tasks.jsonl\nsource=bench rows=6\nsource=pool rows=25\nsource=quiz rows=4" in out
+    rows = prepare.read_tasks(spark, str(root / "tasks.jsonl")).orderBy("position").collect()
+    want = [f"pool::dev::{i}" for i in range(25)] + [f"bench::auxiliary_train::{i}" for i in range(3)] + ["bench::dev::0", "bench::dev::1", "bench::validation::0"]
+    assert [r["question_id"] for r in rows] == want + [f"quiz::{s}::{i}" for s in ("train", "validation") for i in (0, 2)]
+    by_id = {r["question_id"]: r for r in rows}
+    assert json.loads(by_id["pool::dev::24"]["metadata"])["source_meta"] == {"k": {"n": None}} and by_id["pool::dev::24"]["question_text"] == "q24"
+    meta = json.loads(by_id["bench::auxiliary_train::2"]["metadata"])
+    assert meta["source_meta"] == {"source_subset": "all", "subject_source": "inferred_from_labeled_splits", "subject_inference_score": 2, "source_subject_config": "sea", "original_answer": "b", "answer_label": "B"}
+    assert by_id["bench::dev::1"]["reference_answer"] == "y" and by_id["bench::dev::1"]["domain"] == "sky"
+    # A reused source is whole; the limit takes the first merged rows in order.
+    assert prepare.main([*args, "--limit", "12", "--output-path", str(root / "few.jsonl")], spark) == {"pool": 25, "bench": 6, "quiz": 4}
+    few = prepare.read_tasks(spark, str(root / "few.jsonl")).orderBy("position").collect()
+    assert [r["question_id"] for r in few] == want[:12]
+    assert prepare.main([*args, "--limit", "2", "--force", "--output-path", str(root / "two.jsonl")], spark) == {"pool": 2, "bench": 5, "quiz": 4}
+    with pytest.raises(SystemExit):
+        prepare.main([], spark)
+
+
+def test_tasks_are_prepared_if_missing(spark, tmp_path):
+    root = tmp_path / "set"
+    dataset(spark, root)
+    with pytest.raises(FileNotFoundError):
+        prepare.ensure_tasks(spark, str(root / "other.jsonl"))
+    with pytest.raises(FileNotFoundError):
+        prepare.ensure_tasks(spark, str(root / "tasks.jsonl"))
+    got = prepare.ensure_tasks(spark, str(root / "tasks.jsonl"), str(root / "set.toml"), 26).orderBy("position").collect()
+    assert [r["question_id"] for r in got] == [f"pool::dev::{i}" for i in range(25)] + ["bench::auxiliary_train::0"]
+    assert not (root / "quiz_tasks.jsonl").exists()  # the limit was reached before
+    assert prepare.ensure_tasks(spark, str(root / "tasks.jsonl")).count() == 26
+
+
+def test_index_cache_and_empty_configurations(spark, tmp_path):
+    path, built = str(tmp_path / "index.parquet"), []
+
+    def build(rows):
+        built.append(len(rows))
+        return spark.createDataFrame(rows, subjects.INDEX_SCHEMA)
+
+    assert subjects.cached_index(spark, path, lambda: build([])).count() == 0
+    assert subjects.cached_index(spark, path, lambda: build([("c", "tide", 2)])).count() == 1  # an empty cache is built again
+    assert subjects.cached_index(spark, path, lambda: build([])).count() == 1 and built == [0, 1]
+    with pytest.raises(ValueError, match="'d'"):
+        subjects.checked_index(spark.read.parquet(path), spark.createDataFrame([("c",), ("d",)], "config string"))
+    with pytest.raises(ValueError):
+        adapters.subject_rows(spark.createDataFrame([("all",)], "config string"))
+
 
-    d = "/root/testdata/sf0.001"
-    whole = QUERIES["adapter_trivia_all"](spark, d).collect()
-    named = [tuple(r) for r in QUERIES["adapter_trivia"](spark, d).collect()]
-    assert sorted(named, key=repr) == sorted(((r[0], *r[2:]) for r in whole if r["data_split"] == "train" and not r[0].startswith("trivia::")), key=repr)
-    assert {r["data_split"] for r in whole} == {"train", "validation"}
+def test_sample_records(spark):
+    rows = spark.createDataFrame([(i, f" q{i} ", [" a", "b "], a) for i, a in enumerate(["b", "a", "1", "z", "B"])], "k int, question string, choices array<string>, answer string")
+    got = prepare.sample_records(rows, ["k"], 1, 3, "sub").collect()
+    assert [tuple(r) for r in got] == [("mmlu_000001", "sub", "q1", ["a", "b"], "A"), ("mmlu_000002", "sub", "q2", ["a", "b"], "B"), ("mmlu_000003", "sub", "q3", ["a", "b"], "z")]
+    assert prepare.sample_records(rows, ["k"], 9, 3, "sub").count() == 0
+    assert [r["subject"] for r in prepare.sample_records(rows.withColumn("subject", F.lit(" s ")), ["k"], 0, 1, "sub").collect()] == ["s"]
