@@ -7,6 +7,7 @@ import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -93,6 +94,23 @@ def look_of(text: str) -> str:
 
 #: What stands for a character in the consistent form: as drawn, and no joiner at all.
 _FORM_TABLE = _TABLE | dict.fromkeys((0x200C, 0x200D))
+_GONE = 0x110000
+#: The same as an array: what stands for a code point, or _GONE; longer replacements apart.
+_FORM_ARRAY = np.arange(_GONE + 1, dtype=np.uint32)
+for _cp, _to in _FORM_TABLE.items():
+    _FORM_ARRAY[_cp] = _GONE if not _to else ord(_to[0]) if len(_to) == 1 else _cp
+_FORM_LONGER = {chr(cp): to for cp, to in _FORM_TABLE.items() if to and len(to) > 1}
+#: Characters that go through the steps as one string.
+CHARACTERS = 2_000_000
+
+
+def _translated(s: str) -> str:
+    """``s.translate(_FORM_TABLE)``, for long strings."""
+    for c, to in _FORM_LONGER.items():
+        if c in s:
+            s = s.replace(c, to)
+    codes = _FORM_ARRAY[np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    return codes[codes != _GONE].tobytes().decode("utf-32-le", "surrogatepass")
 
 
 def consistent_forms(texts: list[str]) -> list[str]:
@@ -104,17 +122,23 @@ def consistent_forms(texts: list[str]) -> list[str]:
     """
     out = [t if t.isascii() else "" for t in texts]
     wide = [i for i, t in enumerate(texts) if not t.isascii()]
-    if wide:
-        joined = "".join(texts[i] for i in wide)
+    at = 0
+    while at < len(wide):
+        end, size = at, 0
+        while end < len(wide) and (end == at or size < CHARACTERS):
+            size += len(texts[wide[end]])
+            end += 1
+        some, at = wide[at:end], end
+        joined = "".join(texts[i] for i in some)
         # Noncharacters compose with nothing, fold to themselves and are no space.
         sep = next((c for c in ("\uffff", "\ufffe", *map(chr, range(0xFDD0, 0xFDF0))) if c not in joined), None)
-        parts = [sep.join(texts[i] for i in wide)] if sep else [texts[i] for i in wide]
+        parts = [sep.join(texts[i] for i in some)] if sep else [texts[i] for i in some]
         done = []
         for s in parts:
-            s = unicodedata.normalize("NFKC", s).translate(_FORM_TABLE)
+            s = _translated(unicodedata.normalize("NFKC", s))
             s = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", s).casefold())
-            done.append(unicodedata.normalize("NFKC", s.translate(_FORM_TABLE)))
-        for i, s in zip(wide, done[0].split(sep) if sep else done):
+            done.append(unicodedata.normalize("NFKC", _translated(s)))
+        for i, s in zip(some, done[0].split(sep) if sep else done):
             out[i] = s
     return [" ".join(s.casefold().split()) for s in out]
 

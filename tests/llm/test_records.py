@@ -148,7 +148,9 @@ def test_texts_of_one_look_have_one_form():
         t = "".join(rnd.choice(letters if rnd.random() < 0.5 else odd) for _ in range(rnd.randint(1, 3)))
         form = looks.consistent_form(t)
         assert seen.setdefault(looks.look_of(t), form) == form, ascii(t)
-    texts = ["É x", "plain", "", "Ａ\uffff", "б", "\uffffz\ufffe"]
+    every = "".join(map(chr, range(0x110000)))
+    assert looks._translated(every) == every.translate(looks._FORM_TABLE)
+    texts = ["É x", "plain", "", "Ａ\uffff", "б", "\uffffz\ufffe", "".join(map(chr, [*range(0xFDD0, 0xFDF0), 0xFFFE, 0xFFFF]))]
     assert looks.consistent_forms(texts) == [looks.consistent_form(t) for t in texts]
 
 
