@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-import sys
+from importlib.util import module_from_spec, spec_from_file_location
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -132,12 +132,10 @@ def p6_shares(spark: SparkSession, d: str) -> DataFrame:
 def vocabulary(name: str) -> tuple[str, str]:
     """(path, pattern) of a public tokenizer; the folder is a parameter of the environment."""
     folder = os.environ.get("TASKMILL_TOKENIZERS", "/opt/tokenizers")
-    sys.path.append(os.path.dirname(os.path.realpath(folder)))
-    try:
-        import public_tokenizers
-    finally:
-        sys.path.pop()
-    return f"{folder}/{name}", public_tokenizers.PATTERN
+    spec = spec_from_file_location("_tokenizers", os.path.join(os.path.realpath(folder), "__init__.py"))
+    module = module_from_spec(spec)
+    spec.loader.exec_module(module)
+    return f"{folder}/{name}", module.PATTERN
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:

@@ -17,6 +17,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -129,10 +130,12 @@ _encoders: dict[tuple[str, str], TrieEncoder] = {}
 
 
 def encoder(path: str, pattern: str) -> TrieEncoder:
-    """One per worker process, with what it has learnt."""
+    """One per worker process, with what it has learnt. The vocabulary is read from
+    ``path`` where the worker has it, else from the copy that came with the job."""
     key = (path, pattern)
     if key not in _encoders:
-        _encoders[key] = TrieEncoder(read_ranks(path), pattern)
+        local = path if os.path.exists(path) else SparkFiles.get(os.path.basename(path))
+        _encoders[key] = TrieEncoder(read_ranks(local), pattern)
     return _encoders[key]
 
 
@@ -140,9 +143,10 @@ def encoded(df: DataFrame, id_col: str, text_col: str, path: str, pattern: str)
     """(id, ids array<int>): the token ids of every text, special tokens as plain text.
 
     Empty and null texts both give an empty list. A map over the scan without a
-    shuffle; the vocabulary is read by each worker from ``path``. A batch is cut
-    so that a block of texts stays below 16 million characters.
+    shuffle; the vocabulary at ``path`` on the driver is sent to the workers as a file.
+    A batch is cut so that a block of texts stays below 16 million characters.
     """
+    df.sparkSession.sparkContext.addFile(path)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, pattern)
