@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # The white space that Python's str.strip removes.
 WS = r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 STRIP = rf"^{WS}+|{WS}+\z"
+# What a token of a subject is.
 TOKEN = r"[a-z][a-z0-9_+-]{2,}"
 
 # Words that tell nothing about a subject.

@@ -168,6 +168,21 @@ def legacy_metadata(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("line_id", F.get_json_object("metadata", "$.benchmark_name").alias("benchmark_name"), F.array_sort(F.json_object_keys("metadata")).alias("members"))
 
 
+def object_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Sample lines: objects only, blank lines skipped; none at all is an error."""
+    rows = lines.accepted(lines.samples_from_lines(_lines(spark, d)))
+    return lines.not_empty(rows, "task_lines").select("line_id", F.size(F.json_object_keys("record")).alias("members"))
+
+
+def dataset_scan(spark: SparkSession, d: str) -> DataFrame:
+    """A local copy of a dataset, its validation split found under the other name."""
+    root = f"{shared_dir(spark)}/copy-{uuid.uuid4().hex}"
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+    orders.orderBy("o_orderkey").write.parquet(f"{root}/depot/orders/main/val.parquet")
+    source = config.Source("orders", "huggingface", "own", "orders_tasks.jsonl", repo_id="depot/orders", config_name="main")
+    return prepare.read_split(spark, root, source, "validation", "o_orderkey bigint, o_orderpriority string, missing string")
+
+
 def task_accessors(spark: SparkSession, d: str) -> DataFrame:
     rows = lines.accepted(lines.tasks_from_lines(_lines(spark, d)))
     return rows.select("line_id", *accessors.task_accessors())
@@ -343,7 +358,7 @@ QUERIES = {
     for f in (
         token_index, subject_infer, index_cache, text_clean, stable_id, order_key, alias_build, answer_index, answer_index_reader, sampled_answer, option_label,
         question_render, task_scan, task_scan_errors, legacy_metadata, pool_scan, task_sink, enabled_sources, config_listing, adapter_unlabelled,
-        adapter_trivia, adapter_cais, adapter_pool, task_accessors, pool_label, prepare_all, prepare_limit, sample_records, round_robin, round_robin_limit, union_limit, union_lazy, union_all, source_count, anti_append, slice_rows,
+        adapter_trivia, adapter_cais, adapter_pool, object_lines, dataset_scan, task_accessors, pool_label, prepare_all, prepare_limit, sample_records, round_robin, round_robin_limit, union_limit, union_lazy, union_all, source_count, anti_append, slice_rows,
     )
 }
 
@@ -540,6 +555,8 @@ SQL = {
       SELECT {_strip("coalesce(nullif(question_id, ''), 'trivia::' || s || '::' || pos)")} AS question_id, s AS data_split, {_clean('question')} AS question_text, v AS reference_answer,
         CASE WHEN NOT list_contains(l, v) THEN list_prepend(v, l) ELSE l END AS reference_aliases, 'trivia' AS meta_benchmark_name, 'depot/trivia' AS meta_source_dataset, s AS meta_source_split
       FROM p WHERE v <> ''""",
+    "object_lines": "SELECT line_id, len(list_distinct(json_keys(raw_json))) AS members FROM (SELECT line_id, CASE WHEN json_valid(raw_json) THEN raw_json END AS raw_json FROM task_lines) WHERE json_type(raw_json) = 'OBJECT'",
+    "dataset_scan": "SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS row, o_orderkey, o_orderpriority, CAST(NULL AS VARCHAR) AS missing FROM orders",
     "task_accessors": _SCAN + "SELECT line_id, question_id AS seed_id, question_text AS question, reference_answer AS answer, reference_answer_index AS answer_index, reference_aliases AS answer_aliases FROM ok",
     "pool_label": "SELECT pool_key, CASE WHEN json_type(meta, '$.answer_label') = 'VARCHAR' THEN nullif(meta ->> '$.answer_label', '') END AS answer_label FROM question_pool",
     "prepare_all": _PREPARED,
