@@ -247,9 +247,10 @@ def seed_table(items: DataFrame) -> DataFrame:
     return listed.mapInArrow(chosen, "seed bigint, item_id bigint, place int, length int, need int")
 
 
-def _hits(docs: DataFrame, known: np.ndarray, lengths: list[int]) -> DataFrame:
+def _hits(docs: DataFrame, known: np.ndarray, lengths: list[int], least: int) -> DataFrame:
     """One pass over the corpus: (doc_id, text_key, seed, pos) of every seed that the bitmap
-    knows, and one row with the hashed ``words`` of each text that has any."""
+    knows, and one row with the hashed ``words`` of each text, of texts that have at least
+    ``least`` such seeds, the fewest that a case of any item has."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -272,6 +273,8 @@ def _hits(docs: DataFrame, known: np.ndarray, lengths: list[int]) -> DataFrame:
                 seed.append(h[hit])
             at, seed = np.concatenate(at), np.concatenate(seed)
             doc = np.searchsorted(ends, at, "right")
+            enough = np.bincount(doc, minlength=1)[doc] >= least
+            at, seed, doc = at[enough], seed[enough], doc[enough]
             own = np.unique(doc)
             keys = {d: xxhash.xxh64_intdigest(flat[starts[d] : ends[d]].tobytes()) - (1 << 63) for d in own.tolist()}
             yield pa.RecordBatch.from_arrays(
@@ -314,11 +317,11 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
             seen.add(b.column(0).to_numpy().view(np.uint64))
         yield seen.rows()
 
-    lengths = sorted(r[0] for r in seeds.select("length").distinct().collect())  # SEED at most
-    if not lengths:
+    needs = {r[0]: r[1] for r in seeds.groupBy("length").agg(F.min("need")).collect()}  # SEED rows at most
+    if not needs:
         return docs.sparkSession.createDataFrame([], "doc_id bigint, item_id bigint")
     known = bitmap.assembled(seeds.select("seed").mapInArrow(marks, bitmap.SLOTS))
-    hits = stored(_hits(src, known, lengths))
+    hits = stored(_hits(src, known, sorted(needs), min(needs.values())))
     asked = hits.filter("seed IS NOT NULL").select("doc_id", "text_key", "seed", "pos", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(SALTS)).cast("int").alias("salt"))
     salted = seeds.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     pairs = asked.join(salted, ["seed", "salt"]).groupBy("doc_id", "text_key", "item_id")
