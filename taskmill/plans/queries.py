@@ -506,6 +506,15 @@ SQL = {
         'Question: ' || {_strip('question')} || CASE WHEN len(c) > 0 THEN chr(10) || {_OPTION_LINES} ELSE '' END AS sample_prompt
       FROM (SELECT *, {_tidy('choices')} AS c, {_clean('subject')} AS s, {_clean('question')} AS q FROM question_pool)""",
     "task_scan": _SCAN + "SELECT line_id, question_id, data_split, domain, question_type, question_text, choices, reference_answer, reference_answer_index, reference_aliases FROM ok",
+    "task_scan_errors": _SCAN
+    + rf""", e AS (
+      SELECT CASE WHEN coalesce(raw_json ->> '$.contract', 'task_v1') NOT IN ('task_v1', 'task_item_v1', 'seed_input_v1', 'world_question_v1') THEN 'unsupported contract'
+        WHEN question_text = '' THEN 'no question_text' WHEN reference_answer = '' THEN 'no reference_answer' WHEN question_type NOT IN ('multiple_choice', 'open_qa') THEN 'unsupported question_type'
+        WHEN question_type = 'multiple_choice' AND len(choices) = 0 THEN 'multiple_choice without choices'
+        WHEN question_type = 'multiple_choice' AND (reference_answer_index IS NULL OR reference_answer_index < 0 OR reference_answer_index >= len(choices)) THEN 'multiple_choice without a valid index' END AS error FROM y
+      UNION ALL SELECT CASE WHEN json_valid(raw_json) THEN 'not an object' ELSE 'not JSON' END FROM task_lines
+        WHERE {_clean('raw_json')} <> '' AND line_id NOT IN (SELECT line_id FROM l))
+      SELECT error, count(*) AS rows FROM e WHERE error IS NOT NULL GROUP BY error""",
     "legacy_metadata": _SCAN
     + rf"""SELECT line_id, CASE WHEN raw_json ->> '$.contract' = 'world_question_v1' THEN coalesce({_blank_null("raw_json ->> '$.benchmark_name'")}, raw_json ->> '$.metadata.benchmark_name') ELSE raw_json ->> '$.metadata.benchmark_name' END AS benchmark_name,
       list_sort(list_distinct(list_concat(coalesce(json_keys(raw_json, '$.metadata'), []), CASE WHEN raw_json ->> '$.contract' = 'world_question_v1' THEN ['benchmark_name'] ELSE [] END))) AS members FROM ok""",

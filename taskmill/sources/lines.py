@@ -99,9 +99,12 @@ def _strings(v: Column) -> Column:
 def parsed(lines: DataFrame, col: str = "line") -> DataFrame:
     """Adds ``_v``, the variant of each line that is not blank, and drops blank lines."""
     kept = lines.filter(F.coalesce(strip(F.col(col)), F.lit("")) != "")
-    # A parser that stops after the first value accepts rubbish behind an object.
-    whole = strip(F.col(col)).rlike(r"(?s)^[\[{].*[\]}]\z")
-    return kept.withColumn("_v", F.when(whole, F.try_parse_json(col)))
+    # The parser stops after the first value; as the only element of a list, rubbish or
+    # a second value behind it shows.
+    value = strip(F.col(col))
+    whole = value.rlike(r'(?s)^(?:\{.*\}|\[.*\]|"(?:[^"\\]|\\.)*+"|-?[0-9][0-9.eE+-]*|true|false|null)\z')
+    rows = kept.withColumn("_a", F.when(whole, F.try_parse_json(F.concat(F.lit("["), value, F.lit("]")))))
+    return rows.withColumn("_v", F.when(F.variant_get("_a", "$[1]", "variant").isNull(), F.variant_get("_a", "$[0]", "variant"))).drop("_a")
 
 
 def _whole(rows: DataFrame) -> DataFrame:

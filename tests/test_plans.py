@@ -54,6 +54,8 @@ def test_reader_keys_absent_and_null(spark):
                 {"question": "q", **mc, "answer_index": 20_000_000_000}, {"question": "q", **mc, "answer_index": "9" * 40}, {"question": "q", **mc, "answer_index": -(10**15)})
     assert [json.loads(more[i]["metadata"]) for i in range(3)] == [deep | {"benchmark_name": 'b"n'}, deep, {"benchmark_name": None}]
     assert [more[i]["reference_answer"] for i in (3, 4, 5)] == ["1.0", "2.5", "False"] and more[5]["question_text"] == "12"
+    odd = read(spark, "12", '"text"', "null", '{"a": 1} x', "[1] [2]", '"a" "b"', "12 13", "-1.5e3", "nul")
+    assert [odd[i]["error"] for i in range(9)] == ["not an object"] * 3 + ["not JSON"] * 4 + ["not an object", "not JSON"]
     assert {more[i]["error"] for i in (6, 7, 8)} == {"multiple_choice without a valid index"}
     assert got[10]["error"] == "unsupported contract" and got[11]["error"] == "metadata is no object" and got[12]["error"] == "choices is no list"
     assert got[13]["question_type"] == "open_qa" and got[0]["question_id"].startswith("task::")
