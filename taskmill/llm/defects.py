@@ -3,8 +3,8 @@
 Refusals are found by what repeats, without any list of phrases. An opening is a
 run of OPENING words near the start of an answer, at each of its first words (a
 courtesy may come before the template), with the words of the own question
-masked. Openings are clustered by MinHash over their five-word shingles, each
-link of a bucket verified by the shingles; a cluster that recurs across unrelated
+masked. Openings that are one another but for one shingle are linked by equal keys,
+exactly, and what is connected is a cluster; a cluster that recurs across unrelated
 prompts, in an answer written in words that answers use far more than tasks do,
 is a template of declining, not an answer. Truncation is found by how texts of
 this corpus end. All counts are over the whole tables and all thresholds are
@@ -29,12 +29,14 @@ from taskmill.runtime import stored
 OPENING, PLACES = 6, 18
 #: Openings with fewer words of their own, the question's masked, tell nothing.
 OWN_WORDS = 3
+#: Words of a shingle, and the share of the shingles of the larger of two openings that both need.
 SHINGLE, SIMILARITY = 5, 0.8
-#: MinHash: bands of so many rows.
-BANDS, ROWS = 8, 2
 #: Unrelated prompts that an opening or a word must recur across: a share of the prompts
 #: that have an answer in free text, and a floor.
 RECURS_SHARE, RECURS_LEAST = 0.0003, 3
+#: What two openings of a cluster have in common recurs across one in so many of the prompts that
+#: a cluster needs, and two at least, or chance would chain more openings as tables grow.
+LINK_ONE_IN, LINK_LEAST = 3, 2
 #: A word is foreign to tasks if its share among answers is so many times that among tasks.
 LIFT = 10
 #: Share of an answer's words that are foreign to tasks yet recur in answers.
@@ -183,29 +185,38 @@ def _paired(responses: DataFrame, tasks: DataFrame) -> DataFrame:
     return cold.unionByName(r.filter(is_hot).join(F.broadcast(t.filter(F.col("task_key").isin(hot))), "task_key", "left"))
 
 
-def clusters(texts: DataFrame) -> DataFrame:
-    """(opening, cluster) of distinct openings: connected by verified MinHash links.
+def clusters(texts: DataFrame, least: int = 0) -> DataFrame:
+    """(opening, cluster) of distinct openings: connected by verified links.
 
-    Openings of equal shingles are one set. Sets meet in a bucket if a band of their
-    signatures agrees; inside a bucket two sets are SIMILARITY alike exactly if one
-    is the other less one shingle (any two that differ by more are less alike at
-    this length), so links are found by equal keys and a large bucket makes no pairs.
+    The shingles of an opening are its runs of SHINGLE words or, where it has too few
+    of those for one to be missing, its words with their places. Openings of equal
+    shingles are one set. Two sets are SIMILARITY alike exactly if they are equal
+    but for one shingle of either or both, i.e. if they have a key in common: the hash
+    of a set or of a set less one shingle, OWN_WORDS words that are not masked being
+    left. All sets of a key are alike, so each is linked to the smallest one, no link
+    is lost and a common key makes no pairs. Where texts have a ``prompt``, keys of
+    fewer than ``least`` prompts link nothing.
     """
-    assert OPENING - SHINGLE < SIMILARITY * (OPENING - SHINGLE + 2)
+    assert max(OPENING - SHINGLE + 1, SHINGLE + 3) - 2 < SIMILARITY * max(OPENING - SHINGLE + 1, SHINGLE + 3)
     ws = F.split("opening", " ")
-    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.size(ws) - SHINGLE, F.lit(0))), lambda i: F.array_join(F.slice(ws, i + 1, SHINGLE), " "))
-    keyed = texts.select("opening", F.array_sort(F.array_distinct(F.transform(runs, lambda r: F.xxhash64(r)))).alias("grams"))
-    keyed = keyed.withColumn("own", F.xxhash64("grams"))
-    less = F.transform("grams", lambda g: F.xxhash64(F.array_remove("grams", g)))
+    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.size(ws) - SHINGLE, F.lit(0))), lambda i: F.xxhash64(F.array_join(F.slice(ws, i + 1, SHINGLE), " ")))
+    few = F.size(runs) - 1 < SIMILARITY * F.size(runs)
+    placed = F.transform(ws, lambda w, i: F.xxhash64(i, w))
+    unmasked = F.size(F.filter(ws, lambda w: w != "_"))
+    # A word may be missing if enough unmasked ones are left without it.
+    spare = F.filter(placed, lambda g, i: (F.get(ws, i) == "_") | (unmasked > OWN_WORDS))
+    prompt = ["prompt"] if "prompt" in texts.columns else []
+    grams = texts.select("opening", *prompt, F.array_sort(F.array_distinct(F.when(few, placed).otherwise(runs))).alias("grams"), F.when(few, spare).otherwise(runs).alias("spare"))
     alike = F.size("grams") - 1 >= SIMILARITY * F.size("grams")
-    sets = keyed.select("own", "grams", F.when(alike, less).otherwise(F.array().cast("array<bigint>")).alias("less")).dropDuplicates(["own"])
-    smallest = lambda h: F.array_min(F.transform("grams", lambda g: F.xxhash64(g, F.lit(h))))
-    bands = F.array(*[F.xxhash64(F.lit(b), *[smallest(b * ROWS + r) for r in range(ROWS)]) for b in range(BANDS)])
-    met = sets.select("own", "less", F.explode(bands).alias("bucket"))
-    heads = met.select("bucket", F.col("own").alias("v"))
-    edges = met.select("bucket", F.col("own").alias("u"), F.explode("less").alias("v")).join(heads, ["bucket", "v"]).select("u", "v").distinct()
+    less = F.when(alike, F.transform("spare", lambda g: F.xxhash64(F.array_remove("grams", g)))).otherwise(F.array().cast("array<bigint>"))
+    keyed = grams.select("opening", *prompt, F.xxhash64("grams").alias("own"), less.alias("less"))
+    met = keyed.select("own", *prompt, F.explode(F.concat(F.array("own"), "less")).alias("key")).distinct()
+    heads = met.groupBy("key").agg(F.min("own").alias("v"), F.max("own").alias("w"), F.count_distinct(*prompt or ["own"]).alias("n"))
+    heads = heads.filter(F.col("v") < F.col("w")).filter(F.col("n") >= (least if prompt else 0)).select("key", "v")
+    edges = met.join(heads, "key").select(F.col("own").alias("u"), "v").distinct()
     labels = spanning_forest(edges).labels
-    return keyed.join(labels, keyed.own == labels.node, "left").select("opening", F.coalesce("root", "own").alias("cluster"))
+    openings_of = keyed.select("opening", "own").distinct()
+    return openings_of.join(labels, openings_of.own == labels.node, "left").select("opening", F.coalesce("root", "own").alias("cluster"))
 
 
 def _refusals(feats: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -214,7 +225,7 @@ def _refusals(feats: DataFrame, vocabulary: DataFrame) -> DataFrame:
     prompts = cand.select("prompt").distinct().count()
     least = max(RECURS_LEAST, round(RECURS_SHARE * prompts))
     said = cand.select("response_id", "prompt", F.explode("openings").alias("opening"))
-    member = clusters(stored(said.groupBy("opening").agg(F.approx_count_distinct("prompt").alias("n"))).select("opening"))
+    member = clusters(stored(said.select("opening", "prompt").distinct()), max(LINK_LEAST, least // LINK_ONE_IN))
     heard = said.join(member, "opening").select("response_id", "prompt", "cluster")
     recurs = heard.groupBy("cluster").agg(F.count_distinct("prompt").alias("recurs")).filter(F.col("recurs") >= least).select("cluster")
     template = heard.join(recurs, "cluster", "left_semi").select("response_id").distinct()

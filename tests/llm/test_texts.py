@@ -141,6 +141,26 @@ def test_longer_openings_cluster_with_one_shingle_less(spark, monkeypatch):
     assert len(got) == 5 and got[texts[0]] == got[texts[1]] == got[texts[2]] and len(set(got.values())) == 3
 
 
+def test_openings_that_differ_in_one_word_are_one_template(spark):
+    say = lambda i, fa: (i, i, fa, None, "{}")
+    one = [say(i, f"My rules forbid judging {w} questions today") for i, w in enumerate(("such", "those", "your"))]
+    two = [say(10 + i, f"Perhaps nobody {a} these {b} could settle") for i, (a, b) in enumerate((("with", "means"), ("having", "tools"), ("using", "methods")))]
+    r, t, _ = _tables(spark, one + two + [say(30, "the wheel of the harbor")])
+    assert dict(map(tuple, defects.defects(r, t).filter("defect = 'refusal'").collect())) == dict.fromkeys(range(3), "refusal")
+    assert defects.defects(r.filter("response_id <> 2"), t).filter("defect = 'refusal'").count() == 0
+
+
+def test_links_of_openings(spark):
+    texts = ["a b c d e f", "a b x d e f", "a b c d e y", "a b c d e", "b c d e f g", "a z x d q f", "_ _ _ d e f", "_ _ _ d e g", "a b c"]
+    pairs = [(x, p) for p, x in enumerate(texts)] + [(texts[0], 20), (texts[2], 21)]
+    df = spark.createDataFrame(pairs, "opening string, prompt bigint")
+    got = dict(map(tuple, defects.clusters(df.select("opening")).collect()))
+    assert len({got[x] for x in texts[:4]}) == 1 and len(set(got.values())) == 6
+    # Without the third word two prompts have them, without the sixth one five.
+    got = dict(map(tuple, defects.clusters(df, 4).collect()))
+    assert got[texts[0]] == got[texts[2]] == got[texts[3]] != got[texts[1]] and len(set(got.values())) == 7
+
+
 def test_leaks_of_a_passage_that_many_items_share(spark):
     v, noise = vocabulary(400, 3), vocabulary(200, 9)
     first, passage = v[:9], v[10:40]
